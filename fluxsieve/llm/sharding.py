@@ -34,7 +34,7 @@ PARTS_LEAST = 4
 
 
 #: Weights of bytes, tokens and rows in the dot product: the law that holds is that of bytes.
-EMPHASIS = np.array([6.0, 1.0, 1.0])
+EMPHASIS = np.array([30.0, 1.0, 1.0])
 
 
 def pack(items: np.ndarray, residual: np.ndarray, turn: int = 0) -> np.ndarray:
