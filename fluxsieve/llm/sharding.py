@@ -28,9 +28,9 @@ SHARDS = 40
 OVERHEAD = 16
 #: A group or piece with over 1 / PIECES of the bytes, tokens or rows is placed by the driver.
 PIECES = 4096
-#: Rows of a part, about, and of a slice within which slots are counted.
-PART_ROWS = 20_000
-PARTS_LEAST = 4
+#: Rows of a part, about; a slice within which slots are counted has five times as many.
+PART_ROWS = 4_000
+PARTS_LEAST = 32
 
 
 #: Weights of bytes, tokens and rows in the dot product: the law that holds is that of bytes.
@@ -102,7 +102,7 @@ def shard(docs: DataFrame, shards: int = SHARDS, overhead: int = OVERHEAD) -> Da
 
 def slots(rows: DataFrame, n: int) -> DataFrame:
     """Adds slot: the rows of a shard are numbered slice by slice, so that no task holds a whole shard."""
-    slices = max(8, n // PART_ROWS)
+    slices = max(PARTS_LEAST, n // (5 * PART_ROWS))
     rows = cut(rows.withColumn("slice", F.pmod(F.xxhash64(F.lit(11), "doc_id"), F.lit(slices)).cast("int")))
     counts = rows.groupBy("shard", "slice").agg(F.count(F.lit(1)).alias("n"))
     ahead = counts.select("shard", "slice", (F.sum("n").over(Window.partitionBy("shard").orderBy("slice")) - F.col("n")).alias("ahead"))
