@@ -8,13 +8,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, sharding
-from .common import table
+from ..session import ship
+from . import audio, mixing, pii, secrets, sharding
+from .common import cut, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
     out = sharding.shard(table(spark, sf_dir, "documents"), 40)
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
@@ -23,6 +25,28 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
-QUERIES: dict[str, Query] = {"op1_sharding": op1_sharding, "op4_mixing": op4_mixing}
+def op5_audio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    return audio.audio(table(spark, sf_dir, "documents"), digest=True)
 
-ORACLES: dict[str, str] = {"op4_mixing": mixing.ORACLE}
+
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    return pii.find(table(spark, sf_dir, "documents"))
+
+
+def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ledger starts empty: the first scan of a history."""
+    docs = table(spark, sf_dir, "documents")
+    return secrets.digest(secrets.findings(docs, cut(secrets.scan_versions(docs))))
+
+
+QUERIES: dict[str, Query] = {
+    "op1_sharding": op1_sharding,
+    "op4_mixing": op4_mixing,
+    "op5_audio": op5_audio,
+    "op7_pii": op7_pii,
+    "op8_secrets": op8_secrets,
+}
+
+ORACLES: dict[str, str] = {"op4_mixing": mixing.ORACLE, "op8_secrets": secrets.ORACLE}
