@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ship
-from . import audio, mixing, pii, secrets, sharding, shingles
+from . import audio, covertree, mixing, pii, secrets, sharding, shingles
 from .common import cut, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +21,11 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op3_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    return covertree.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -48,6 +53,7 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_sharding": op1_sharding,
+    "op3_cover_tree": op3_cover_tree,
     "op4_mixing": op4_mixing,
     "op5_audio": op5_audio,
     "op7_pii": op7_pii,
