@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ship
-from . import audio, covertree, mixing, pii, secrets, sharding, shingles
+from . import audio, covertree, lines, mixing, pii, secrets, sharding, shingles
 from .common import cut, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -46,6 +46,10 @@ def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.findings(docs, cut(secrets.scan_versions(docs))))
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.dedup(table(spark, sf_dir, "documents")).select("doc_id", "text", "n_removed")
+
+
 def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship(spark)
     return shingles.join(table(spark, sf_dir, "documents"), 4, 85, 100).select("doc_id", "n_shingles", "component_id")
@@ -58,7 +62,8 @@ QUERIES: dict[str, Query] = {
     "op5_audio": op5_audio,
     "op7_pii": op7_pii,
     "op8_secrets": op8_secrets,
+    "op9_line_dedup": op9_line_dedup,
     "op10_ngram_join": op10_ngram_join,
 }
 
-ORACLES: dict[str, str] = {"op4_mixing": mixing.ORACLE, "op8_secrets": secrets.ORACLE}
+ORACLES: dict[str, str] = {"op4_mixing": mixing.ORACLE, "op8_secrets": secrets.ORACLE, "op9_line_dedup": lines.ORACLE}
