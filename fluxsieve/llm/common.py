@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 SPACE = r"\x20\x09-\x0D"
 
 
+CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -33,7 +36,12 @@ def cut(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/{spark.sparkContext.applicationId}-{uuid.uuid4().hex}"
     jvm = spark.sparkContext._jvm
-    df.write.option("compression", "zstd").parquet(path)
+    was = spark.conf.get(CLEAN, "false")
+    spark.conf.set(CLEAN, "true")  # the shuffles of this job go when it ends: nothing reads them again
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(CLEAN, was)
     where = jvm.org.apache.hadoop.fs.Path(path)
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(where)
     return spark.read.schema(df.schema).parquet(path)
