@@ -8,9 +8,8 @@ never formed whole:
    global order of n-grams, the others are ordered by hash.
 2. Two sets that reach the threshold share an n-gram among the first n - ceil(t n) + 1 of each (size-derived
    bound), so only these columns are shuffled, and only columns with two classes or more are kept.
-3. Stars first: in each column the least and the greatest class stand for the column, and each class is
-   tried against those it meets most often. That joins large groups of near copies by as many pairs as they
-   have members. Then all pairs that share a kept column, lie in different components so far, and can reach the
+3. Stars first: in each column two classes stand for the column, and each class is tried against those it meets
+   most often. A few such rounds join large groups of near copies by as many pairs as they have members. Then all pairs that share a kept column, lie in different components so far, and can reach the
    threshold by size and by position in the column order, are tried: none of them is left out.
 4. Trying is the product in blocks: a block holds pairs and the rows of the matrix they need, its overlap
    counts are exact, and it returns a spanning forest of the links it finds.
@@ -31,7 +30,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import cut
@@ -41,6 +40,10 @@ from .components import components
 FREQUENT = 1 << 18
 #: Hashes counted together in one pass over a task's rows.
 CHUNK = 1 << 22
+#: Rounds of stars, at most.
+ROUNDS = 4
+#: Bits of a signature; a power of two.
+BITS = 1024
 #: Bytes of sets in a block of the product, about.
 BLOCK_BYTES = 24 << 20
 
@@ -75,9 +78,10 @@ def class_of(grams: np.ndarray) -> bytes:
     return xxhash.xxh3_128_digest(grams.tobytes())
 
 
-def least_overlap(n: int, m: int, num: int, den: int) -> int:
-    """The least overlap of sets of n and m with den * overlap >= num * union."""
-    return -(-num * (n + m) // (den + num))
+def signature(grams: np.ndarray) -> bytes:
+    """Parity of the number of n-grams in each of BITS buckets. Two sets differ in at least as many n-grams as their
+    signatures differ in bits."""
+    return np.packbits((np.bincount((grams & np.uint64(BITS - 1)).astype(np.int64), minlength=BITS) & 1).astype(np.uint8)).tobytes()
 
 
 class Order:
@@ -99,18 +103,18 @@ class Order:
         return np.concatenate([rare, late])[:size]
 
 
-_FIRST = pa.schema([("key", pa.int64()), ("doc_id", pa.int64()), ("n", pa.int64()), ("cls", pa.binary()), ("gram", pa.int64()), ("count", pa.int64())])
+_FIRST = pa.schema([("key", pa.int64()), ("text_hash", pa.int64()), ("doc_id", pa.int64()), ("n", pa.int64()), ("cls", pa.binary()), ("sig", pa.binary()), ("gram", pa.int64()), ("count", pa.int64())])
 _POSTING = pa.schema([("gram", pa.int64()), ("cls", pa.binary()), ("n", pa.int32()), ("pos", pa.int32())])
 _SET = pa.schema([("part", pa.int32()), ("cls", pa.binary()), ("grams", pa.binary())])
 
 
-def _fixed(cls: pa.ChunkedArray) -> np.ndarray:
-    """Values of 16 bytes each as rows of a matrix."""
+def _fixed(cls: pa.ChunkedArray, width: int = 16) -> np.ndarray:
+    """Binary values of one width as rows of a matrix."""
     out = []
     for c in cls.chunks:
         start = int(np.frombuffer(c.buffers()[1], np.int32)[c.offset])
-        out.append(np.frombuffer(c.buffers()[2], np.uint8)[start : start + 16 * len(c)].reshape(-1, 16))
-    return np.concatenate(out) if out else np.zeros((0, 16), np.uint8)
+        out.append(np.frombuffer(c.buffers()[2], np.uint8)[start : start + width * len(c)].reshape(-1, width))
+    return np.concatenate(out) if out else np.zeros((0, width), np.uint8)
 
 
 def _key() -> Column:
@@ -131,28 +135,29 @@ def _first_pass(docs: DataFrame, k: int) -> DataFrame:
             held.clear()
             seen.clear()
             none = pa.nulls(len(u))
-            return pa.RecordBatch.from_arrays([*[none.cast(pa.int64())] * 3, none.cast(pa.binary()), pa.array(u.view(np.int64)), pa.array(c)], schema=_FIRST)
+            return pa.RecordBatch.from_arrays([*[none.cast(pa.int64())] * 4, *[none.cast(pa.binary())] * 2, pa.array(u.view(np.int64)), pa.array(c)], schema=_FIRST)
 
         size = 0
         for batch in batches:
-            ns, cs = [], []
+            ns, cs, sigs = [], [], []
             for text in batch["text"]:
                 x = ngrams(text.as_py(), k)
                 c = class_of(x) if len(x) else None
                 ns.append(len(x))
                 cs.append(c)
+                sigs.append(signature(x) if len(x) else None)
                 if c is not None and c not in seen:
                     seen.add(c)
                     held.append(x)
                     size += len(x)
             none = pa.nulls(len(ns), pa.int64())
-            yield pa.RecordBatch.from_arrays([batch["key"], batch["doc_id"].cast(pa.int64()), pa.array(ns, pa.int64()), pa.array(cs, pa.binary()), none, none], schema=_FIRST)
+            yield pa.RecordBatch.from_arrays([batch["key"], batch["text_hash"], batch["doc_id"].cast(pa.int64()), pa.array(ns, pa.int64()), pa.array(cs, pa.binary()), pa.array(sigs, pa.binary()), none, none], schema=_FIRST)
             if size >= CHUNK:
                 yield counted()
                 size = 0
         yield counted()
 
-    return docs.select(_key(), "doc_id", "text").mapInArrow(run, "key long, doc_id long, n long, cls binary, gram long, count long")
+    return docs.select(_key(), F.xxhash64("text").alias("text_hash"), "doc_id", "text").mapInArrow(run, "key long, text_hash long, doc_id long, n long, cls binary, sig binary, gram long, count long")
 
 
 def _frequent(counts: DataFrame) -> Order:
@@ -227,7 +232,19 @@ def _postings(docs: DataFrame, k: int, num: int, den: int, order: Order) -> Data
 
 def _try(docs: DataFrame, reps: DataFrame, pairs: DataFrame, k: int, num: int, den: int) -> DataFrame:
     """pairs(a, b, n_a, n_b) -> the links (a, b) among them, as spanning forests of blocks."""
-    pairs = cut(pairs)
+    for side in "ab":
+        pairs = pairs.join(reps.select(F.col("cls").alias(side), F.col("sig").alias(f"sig_{side}")), side)
+
+    def possible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Drops pairs whose signatures differ in more bits than sets at the threshold can differ in n-grams."""
+        for batch in batches:
+            a, b = (_fixed(pa.chunked_array([batch[f"sig_{s}"]]), BITS // 8) for s in "ab")
+            both = batch["n_a"].to_numpy().astype(np.int64) + batch["n_b"].to_numpy()
+            ok = np.bitwise_count(a ^ b).sum(axis=1, dtype=np.int64) * (den + num) <= both * (den - num)
+            yield batch.select(["a", "b", "n_a", "n_b"]).filter(pa.array(ok))
+
+    pairs = pairs.select("a", "b", F.col("n_a").cast("int").alias("n_a"), F.col("n_b").cast("int").alias("n_b"), "sig_a", "sig_b")
+    pairs = cut(pairs.mapInArrow(possible, "a binary, b binary, n_a int, n_b int"))
     total = pairs.agg(F.sum(F.col("n_a") + F.col("n_b")).alias("s"), F.count(F.lit(1)).alias("n")).first()
     parts = max(32, int((total["s"] or 0) * 8 // BLOCK_BYTES), int(total["n"]) // 5000)
     # a class with very many partners is spread over blocks, with 128 of them each
@@ -278,29 +295,52 @@ def _try(docs: DataFrame, reps: DataFrame, pairs: DataFrame, k: int, num: int, d
     return cut(pairs.select("part", "a", "b").groupBy("part").cogroup(incidence.groupBy("part")).applyInPandas(product, "a binary, b binary"))
 
 
+def _stars(at: DataFrame, turn: int, num: int, den: int) -> DataFrame:
+    """at(gram, cls, n, root, shared) -> pairs (a, b, n_a, n_b), three a class at most: of the classes of a column that have about
+    the same size, the one that shares most columns (an original, rather than a copy with changes of its own) and one by
+    lot stand for all; b is tried against the two it meets most often and one more."""
+    level = F.floor(F.log(F.col("n") + 0.5 * (turn % 2)) / float(np.log(den / num)) + 0.5 * (turn % 2))
+    at = at.withColumn("level", level).withColumn("by", F.xxhash64(F.lit(turn), "cls"))
+    ends = at.groupBy("gram", "level").agg(F.max(F.struct("shared", "cls", "n", "root")).alias("lo"), F.max(F.struct("by", "cls", "n", "root")).alias("hi"))
+    ends = ends.select("gram", "level", *[F.struct(*[F.col(f"{e}.{c}") for c in ("cls", "n", "root")]).alias(e) for e in ("lo", "hi")])
+    met = at.join(ends, ["gram", "level"]).select(F.col("cls").alias("b"), F.col("n").alias("n_b"), F.col("root").alias("root_b"), F.explode(F.array("lo", "hi")).alias("e"))
+    met = met.where(F.col("e.root") != F.col("root_b")).select(F.col("e.cls").alias("a"), "b", F.col("e.n").alias("n_a"), "n_b")
+    met = met.where((F.least("n_a", "n_b") * den).cast("long") >= F.greatest("n_a", "n_b").cast("long") * num)
+    met = met.groupBy("b", "n_b", "a", "n_a").agg(F.count(F.lit(1)).alias("times"))
+    best = met.withColumn("r", F.row_number().over(Window.partitionBy("b").orderBy(F.desc("times"), "a")))
+    least = met.groupBy("b", "n_b").agg(F.min(F.struct("a", "n_a")).alias("l")).select("l.a", "b", "l.n_a", "n_b")
+    return best.where("r <= 2").select("a", "b", "n_a", "n_b").unionAll(least).distinct()
+
+
 def join(docs: DataFrame, k: int = 4, num: int = 85, den: int = 100) -> DataFrame:
-    """docs(doc_id, text, ...) -> doc_id, n_shingles, component_id, cls: documents link when
-    den * overlap >= num * union of their sets of word k-grams."""
+    """docs(doc_id, text, ...) -> doc_id, n_shingles, component_id, root (of the component; null without words), text_hash:
+    documents link when den * overlap >= num * union of their sets of word k-grams."""
     first = cut(_first_pass(docs, k))
-    rows = first.where("n is not null").select("key", "doc_id", "n", "cls")
+    rows = first.where("n is not null").select("key", "text_hash", "doc_id", "n", "cls", "sig")
     order = _frequent(first.where("gram is not null").select("gram", "count"))
     columns = cut(_postings(docs, k, num, den, order))
-    reps = cut(rows.where("cls is not null").groupBy("cls").agg(F.min("key").alias("key")))
-
-    # stars
-    ends = columns.groupBy("gram").agg(F.min(F.struct("cls", "n")).alias("lo"), F.max(F.struct("cls", "n")).alias("hi"))
-    met = columns.join(ends, "gram").select(F.col("cls").alias("b"), F.col("n").alias("n_b"), F.explode(F.array("lo", "hi")).alias("e"))
-    met = met.select(F.col("e.cls").alias("a"), "b", F.col("e.n").alias("n_a"), "n_b").where("a <> b")
-    met = met.where((F.least("n_a", "n_b") * den).cast("long") >= F.greatest("n_a", "n_b").cast("long") * num)
-    met = met.groupBy("b", "n_b", "a", "n_a").agg(F.count(F.lit(1)).alias("times"))
-    most = met.groupBy("b", "n_b").agg(F.max(F.struct("times", "a", "n_a")).alias("m"), F.min(F.struct("a", "n_a")).alias("l"))
-    stars = most.select("b", "n_b", F.explode(F.array(F.struct("m.a", "m.n_a"), "l")).alias("e")).select("e.a", "b", "e.n_a", "n_b").distinct()
-    links = _try(docs, reps, stars, k, num, den)
-    known = cut(components(links))
+    reps = cut(rows.where("cls is not null").groupBy("cls").agg(F.min("key").alias("key"), F.first("sig").alias("sig")))
+
+    # stars, until few pairs of different components share a column or a round hardly helps
+    links = tried = None
+    columns = cut(columns.join(columns.groupBy("cls").agg(F.count(F.lit(1)).alias("shared")), "cls"))
+    at = columns.withColumn("root", F.col("cls"))
+    left = 0.0
+    for turn in range(ROUNDS):
+        per = at.groupBy("gram", "root").agg(F.count(F.lit(1)).alias("c")).groupBy("gram").agg(F.sum("c").alias("s"), F.sum(F.col("c") * F.col("c")).alias("q"))
+        now = per.agg(F.sum("s").alias("rows"), F.sum((F.col("s") * F.col("s") - F.col("q")) / 2.0).alias("cross")).first()
+        if turn and ((now["cross"] or 0) <= 2 * (now["rows"] or 0) or now["cross"] > 0.8 * left):
+            break
+        left = now["cross"] or 0
+        stars = _stars(at, turn, num, den)
+        stars = cut(stars.join(tried, ["a", "b"], "left_anti") if tried is not None else stars)
+        got = _try(docs, reps, stars, k, num, den)
+        ends = stars.select("a", "b").unionAll(stars.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        links, tried = (got, ends) if links is None else (links.unionAll(got), tried.unionAll(ends))
+        known = components(links).withColumnRenamed("id", "cls")
+        at = cut(columns.join(known, "cls", "left").withColumn("root", F.coalesce("root", "cls")))
 
     # every other pair that can reach the threshold
-    at = columns.join(known.withColumnRenamed("id", "cls"), "cls", "left").select("gram", "cls", "n", "pos", F.coalesce("root", "cls").alias("root"))
-    at = cut(at)
     x, y = (at.select("gram", *[F.col(c).alias(f"{c}_{s}") for c in ("cls", "n", "pos", "root")]) for s in "ab")
     need = F.ceil((F.col("n_a") + F.col("n_b")).cast("long") * num / float(den + num) - 1e-9)
     can = F.lit(1) + F.least(F.col("n_a") - F.col("pos_a"), F.col("n_b") - F.col("pos_b")) - 1
@@ -311,11 +351,28 @@ def join(docs: DataFrame, k: int = 4, num: int = 85, den: int = 100) -> DataFram
         & (F.col("n_a").cast("long") * den >= F.col("n_b").cast("long") * num) & (can >= need),
     )
     pairs = near.select(F.col("cls_a").alias("a"), F.col("cls_b").alias("b"), "n_a", "n_b").distinct()
-    tried = stars.select("a", "b").unionAll(stars.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    links = links.unionAll(_try(docs, reps, pairs.join(tried, ["a", "b"], "left_anti"), k, num, den))
+    got = _try(docs, reps, pairs.join(tried, ["a", "b"], "left_anti") if tried is not None else pairs, k, num, den)
+    links = got if links is None else links.unionAll(got)
 
     roots = components(links).withColumnRenamed("id", "cls")
-    rows = rows.join(roots, "cls", "left").withColumn("root", F.coalesce("root", "cls"))
-    rows = cut(rows)
+    rows = cut(rows.drop("sig", "key").join(roots, "cls", "left").withColumn("root", F.coalesce("root", "cls")).drop("cls"))
     least = rows.where("root is not null").groupBy("root").agg(F.min("doc_id").alias("least"))
-    return rows.join(least, "root", "left").select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc_id")).alias("component_id"), "cls")
+    component = F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc_id"))
+    return rows.join(least, "root", "left").select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), "root", "text_hash")
+
+
+def keep_one(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> DataFrame:
+    """The rows of docs without near copies: of each component the document with the least doc_id (null last), then the
+    least text hash, stays; documents without words all stay."""
+    found = cut(join(docs, k, num, den))
+    order = F.struct(F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("id"), F.col("text_hash").alias("hash"))
+    stays = found.where("root is not null").groupBy("root").agg(F.min(order).alias("s")).select("s.id", "s.hash")
+    blank = found.where("root is null").select(F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("id"), F.col("text_hash").alias("hash"))
+    stays = cut(stays.unionAll(blank.distinct()))
+    named = docs.withColumns({"_id": F.coalesce("doc_id", F.lit((1 << 63) - 1)), "_hash": F.xxhash64("text")})
+    out = named.join(stays.select(F.col("id").alias("_id"), F.col("hash").alias("_hash")), ["_id", "_hash"], "left_semi")
+    if found.where("root is not null").groupBy("doc_id", "text_hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty():
+        return out.drop("_id", "_hash")
+    # rows that repeat both id and text: one of them stays
+    blanks = out.where(F.coalesce(F.trim("text"), F.lit("")) == "")
+    return out.where(F.coalesce(F.trim("text"), F.lit("")) != "").dropDuplicates(["_id", "_hash"]).unionAll(blanks).select(*docs.columns)
