@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import word_count
+from .common import SPACE, word_count
 
 #: Weights of the sources in code-point order, repeating.
 WEIGHTS = (5.0, 2.0, 1.0)
@@ -83,12 +83,13 @@ def block_quotas(targets: DataFrame, block: int = BLOCK, shards: int = 1) -> Dat
     return held.select("source", (F.col("shard") - 1).alias("shard"), (F.col("held") - before).alias("quota"), before.alias("first"))
 
 
-def mix(docs: DataFrame, share: float = 1.5, most: float = 2.0, weights: tuple = WEIGHTS, block: int = BLOCK, seed: int = SEED, shards: int = 1) -> DataFrame:
+def mix(docs: DataFrame, share: float = 1.5, most: float = 2.0, weights: tuple = WEIGHTS, block: int = BLOCK, seed: int = SEED, shards: int = 1, carry: bool = False) -> DataFrame:
     """docs(doc_id, text, source, ...) -> doc_id, size, source_size, target, taken, quota (blocks of its
-    source), start (its place on the source's line). Order keys hash seed, doc_id and text: reruns agree,
+    source), start (its place on the source's line), and with carry all columns of docs, as `row`. Order keys hash seed, doc_id and text: reruns agree,
     and rows that tie are copies of one another."""
+    more = [F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")] if carry else []
     base = docs.select(
-        "doc_id", "source", word_count(F.col("text")).alias("size"),
+        *more, "doc_id", "source", word_count(F.col("text")).alias("size"),
         F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), F.md5(F.coalesce("text", F.lit(""))))).alias("order"),
     )
     targets = source_targets(base.select("source", "size"), share, most, weights)
@@ -119,7 +120,20 @@ def mix(docs: DataFrame, share: float = 1.5, most: float = 2.0, weights: tuple =
 
     arc = overlap(F.col("from"), F.least("to", "blocks")) + overlap(F.lit(0).cast("long"), F.greatest(F.col("to") - F.col("blocks"), F.lit(0).cast("long")))
     taken = F.col("size") * F.col("rounds") + arc
-    return rows.select("doc_id", "size", "source_size", "target", taken.cast("long").alias("taken"), "quota", "start")
+    return rows.select("doc_id", "size", "source_size", "target", taken.cast("long").alias("taken"), "quota", "start", *(["row"] if carry else []))
+
+
+def mixed(docs: DataFrame, **options: float) -> DataFrame:
+    """The mix itself, with the columns of docs: a document comes as often as it is taken whole, and once more, cut to its
+    first words, for what is taken of it beyond that."""
+    rows = mix(docs, carry=True, **options)
+    whole = F.when(F.col("size") > 0, F.floor(F.col("taken") / F.greatest("size", F.lit(1).cast("long")))).otherwise(F.lit(0)).cast("int")
+    rows = rows.withColumn("whole", whole).withColumn("part", (F.col("taken") - F.col("whole") * F.col("size")).cast("int"))
+    first = F.array_join(F.slice(F.regexp_extract_all(F.col("row.text"), F.lit(f"[^{SPACE}]+"), F.lit(0)), F.lit(1), F.col("part")), " ")
+    texts = F.concat(F.when(F.col("whole") > 0, F.array_repeat(F.col("row.text"), F.col("whole"))).otherwise(F.array().cast("array<string>")), F.when(F.col("part") > 0, F.array(first)).otherwise(F.array().cast("array<string>")))
+    out = rows.select("row", F.explode(texts).alias("taken_text"))
+    keep = {"text": F.col("taken_text"), "n_chars": F.length("taken_text").cast("long")}
+    return out.select(*[keep.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
 
 
 #: The same figures in plain SQL: quotas by ranking every quotient, places by one running sum a source.

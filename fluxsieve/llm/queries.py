@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ship
-from . import audio, covertree, lines, mixing, pii, secrets, sharding, shingles
+from . import audio, covertree, lines, mixing, pieces, pii, quality, secrets, sharding, shingles
 from .common import cut, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +21,12 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    docs = table(spark, sf_dir, "documents")
+    return quality.score(docs, quality.fit(docs))
+
+
 def op3_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship(spark)
     return covertree.near_duplicates(table(spark, sf_dir, "embeddings"))
@@ -35,6 +41,11 @@ def op5_audio(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audio.audio(table(spark, sf_dir, "documents"), digest=True)
 
 
+def op6_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    return pieces.encode(table(spark, sf_dir, "documents"))
+
+
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship(spark)
     return pii.find(table(spark, sf_dir, "documents"))
@@ -57,9 +68,11 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_sharding": op1_sharding,
+    "op2_quality": op2_quality,
     "op3_cover_tree": op3_cover_tree,
     "op4_mixing": op4_mixing,
     "op5_audio": op5_audio,
+    "op6_pieces": op6_pieces,
     "op7_pii": op7_pii,
     "op8_secrets": op8_secrets,
     "op9_line_dedup": op9_line_dedup,
