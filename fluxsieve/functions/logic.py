@@ -24,15 +24,20 @@ def target(name: object) -> V:
     raise FilterError(f"no type to convert to: {name}")
 
 
+def _common(args: list[Typed]) -> V:
+    """The type of branches; a bare NULL takes that of the others."""
+    return unified([a.kind for a in args if not (a.is_const and a.const is None)] or [V.STRING])
+
+
 def _coalesce(args: list[Typed]) -> Typed:
-    kind = unified([a.kind for a in args])
+    kind = _common(args)
     return Typed(F.coalesce(*[convert(a, kind).col for a in args]), kind)
 
 
 def _iif(args: list[Typed]) -> Typed:
     if args[0].kind != V.BOOLEAN:
         raise FilterError("IIf needs a BOOLEAN test")
-    kind = unified([a.kind for a in args[1:]])
+    kind = _common(args[1:])
     a, b = (convert(x, kind).col for x in args[1:])
     return Typed(F.when(F.coalesce(args[0].col, F.lit(False)), a).otherwise(b), kind)
 
