@@ -35,11 +35,14 @@ def _coalesce(args: list[Typed]) -> Typed:
 
 
 def _iif(args: list[Typed]) -> Typed:
-    if args[0].kind != V.BOOLEAN:
+    test = args[0]
+    if test.is_const and test.const is None:
+        test = convert(test, V.BOOLEAN)
+    if test.kind != V.BOOLEAN:
         raise FilterError("IIf needs a BOOLEAN test")
     kind = _common(args[1:])
     a, b = (convert(x, kind).col for x in args[1:])
-    return Typed(F.when(F.coalesce(args[0].col, F.lit(False)), a).otherwise(b), kind)
+    return Typed(F.when(F.coalesce(test.col, F.lit(False)), a).otherwise(b), kind)
 
 
 def _is_null(args: list[Typed]) -> Typed:

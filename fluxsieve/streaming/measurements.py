@@ -111,7 +111,7 @@ def reasonable(df: DataFrame, now: Column, lag: float = 10.0, lead: float = 5.0,
 
 def publish_windows(df: DataFrame, samples: int, delay: str = "5 seconds", time: str = "ts", signal: str = "signalid", arrival: str = "arrival") -> DataFrame:
     """Streaming: complete seconds, each emitted once the watermark has passed it; late rows are dropped."""
-    framed = df.withWatermark(time, delay).withColumn("frame", frame_index(F.col(time), samples))
+    framed = df.withColumn(time, F.col(time).cast("timestamp")).withWatermark(time, delay).withColumn("frame", frame_index(F.col(time), samples))
     rest = [c for c in df.columns if c not in (signal, time)]
     per = framed.groupBy(F.window(time, "1 second").alias("w"), "frame", signal).agg(F.max_by(F.struct(time, *rest), arrival).alias("r"), F.count(F.lit(1)).alias("n"))
     return per.select(F.col("w.start").alias("second"), "frame", signal, "r.*", (F.col("n") - 1).alias("n_replaced"))
@@ -201,7 +201,7 @@ def sequence_gaps(df: DataFrame, sequence: str = "sequence", channel: str | None
 def dedupe_sequence(df: DataFrame, keys: list[str], time: str | None = None, delay: str = "10 seconds") -> DataFrame:
     """Each sequence number once; a stream keeps state for the delay only."""
     if df.isStreaming and time:
-        return df.withWatermark(time, delay).dropDuplicatesWithinWatermark(keys)
+        return df.withColumn(time, F.col(time).cast("timestamp")).withWatermark(time, delay).dropDuplicatesWithinWatermark(keys)
     return df.dropDuplicates(keys)
 
 
