@@ -182,8 +182,7 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> tuple[LabelModel, np.ndarray]
 
     def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            seen = [look(t.as_py()) for t in batch["text"]]
-            code = [None if x is None else votes(x[2]) for x in seen]
+            code = [None if (x := look(t.as_py())) is None else votes(x[2]) for t in batch["text"]]
             yield pa.RecordBatch.from_arrays([batch["order"], pa.array(code, pa.int32())], ["draw", "pattern"])
 
     order = F.xxhash64("doc_id", "text")
