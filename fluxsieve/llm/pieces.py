@@ -16,7 +16,7 @@ the k, given kappa. Draws are seeded by (seed, doc_id, text): reruns agree.
 
 Scale: one pass without a shuffle; a worker keeps units it has met, CACHE at most, and what a text needs grows with it.
 Defined results: a null text is the empty text, which has one segmentation (the leading space); a text with fewer than k
-segmentations emits them all, with score 1; equal rows get equal samples; an empty table gives no rows.
+segmentations emits them all, with score 1 (what has under 1e-12 of a unit's mass beside its best one counts as none); equal rows get equal samples; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -24,12 +24,10 @@ from __future__ import annotations
 import functools
 import heapq
 import math
-import random
 import re
 import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
-import ahocorasick
 import numpy as np
 import pyarrow as pa
 import sentencepiece
@@ -42,7 +40,11 @@ ALPHA = 3.0
 SHIFT = 10.0
 SEED = 20240917
 LONGEST = 10
-CACHE = 400_000
+CACHE = 250_000
+#: Texts that are searched together.
+ROWS = 256
+#: Bits of a slot in the tables of pieces; factor of their hash.
+SLOTS, FACTOR = 20, 0x9E3779B97F4A7C15
 SPACE = "▁"
 
 _UNITS = re.compile(rf" [^ \n]{{0,{LONGEST - 1}}}|[^ \n]{{1,{LONGEST}}}|\n")
@@ -61,11 +63,9 @@ class Model:
     def __init__(self, path: str, alpha: float):
         sp = sentencepiece.SentencePieceProcessor(model_file=path)
         n = sp.get_piece_size()
-        self.alpha = alpha
         self.byte_ids = [0] * 256
         self.pieces: dict[str, tuple[int, float]] = {}
         spelled = [b""] * n
-        self.automaton = ahocorasick.Automaton()
         for i in range(n):
             piece = sp.id_to_piece(i)
             if sp.is_byte(i):
@@ -73,29 +73,46 @@ class Model:
                 self.byte_ids[value] = i
                 spelled[i] = bytes([value])
             elif not (sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i)):
-                weight = (SHIFT - sp.get_score(i)) ** -alpha
-                self.pieces[piece] = (i, weight)
+                self.pieces[piece] = (i, (SHIFT - sp.get_score(i)) ** -alpha)
                 spelled[i] = piece.replace(SPACE, " ").encode()
-                if len(piece) <= LONGEST:
-                    self.automaton.add_word(piece, (len(piece), i, weight))
-        self.automaton.make_automaton()
         self.byte_weight = (SHIFT + n) ** -alpha
-        self.single = {" ", *(p for p in self.pieces if len(p) == 1)} - {SPACE}
+        self.single = frozenset({" ", *(p for p in self.pieces if len(p) == 1)} - {SPACE})
         self.lens = np.array([len(b) for b in spelled], np.int64)
         self.offs = np.cumsum(self.lens) - self.lens
         self.spelled = np.frombuffer(b"".join(spelled), np.uint8)
+        self._hash([p for p in self.pieces if len(p) <= LONGEST])
         self.units = Units(self)
 
+    def _hash(self, pieces: list[str]) -> None:
+        """Two tables from the high bits of a piece's hash to its row; what collides in the first is in the second."""
+        rows = [(0, 0, 0.0)]
+        self.tables = np.zeros((2, 1 << SLOTS), np.int32)
+        for p in pieces:
+            h = 0
+            for ch in p:
+                h = (h + ord(ch)) * FACTOR & (1 << 64) - 1
+            rows.append((h, *self.pieces[p]))
+            for table, slot in zip(self.tables, (h >> 64 - SLOTS, h >> 60 - SLOTS & (1 << SLOTS) - 1)):
+                if not table[slot]:
+                    table[slot] = len(rows) - 1
+                    break
+            else:
+                raise ValueError("the piece tables need more slots")
+        self.keys = np.array([r[0] for r in rows], np.uint64)
+        self.ids = np.array([r[1] for r in rows], np.int32)
+        self.weights = np.array([r[2] for r in rows])
+
     def edges(self, unit: str) -> list[list[tuple[int, tuple[int, ...], float]]]:
         """For each place in the unit the edges that end there: (start, ids, weight)."""
-        s = unit.replace(SPACE, "￿").replace(" ", SPACE)
+        s = unit.replace(SPACE, "\uffff").replace(" ", SPACE)
         ends: list[list] = [[] for _ in range(len(s) + 1)]
-        for last, (size, i, weight) in self.automaton.iter(s):
-            ends[last + 1].append((last + 1 - size, (i,), weight))
-        for at, ch in enumerate(s):
-            if ch not in self.pieces:
-                ids = tuple(self.byte_ids[b] for b in unit[at].encode())
-                ends[at + 1].append((at, ids, self.byte_weight ** len(ids)))
+        for a in range(len(s)):
+            for b in range(a + 1, len(s) + 1):
+                if (hit := self.pieces.get(s[a:b])) is not None:
+                    ends[b].append((a, (hit[0],), hit[1]))
+            if s[a] not in self.pieces:
+                ids = tuple(self.byte_ids[x] for x in unit[a].encode())
+                ends[a + 1].append((a, ids, self.byte_weight ** len(ids)))
         return ends
 
     def decode(self, ids: np.ndarray) -> str:
@@ -105,6 +122,74 @@ class Model:
         return self.spelled[at].tobytes()[1:].decode()
 
 
+class Lattices:
+    """The lattices of many units at once; every code point of them has a piece. Arrays by (unit, start, length) hold the
+    edges' weights and ids, by (unit, end) the sums over paths, the best path's weight, and the length of its last edge."""
+
+    def __init__(self, model: Model, units: list[str]):
+        n = len(units)
+        code = np.frombuffer("".join([u.ljust(LONGEST, "\0") for u in units]).replace(" ", SPACE).encode("utf-32-le"), np.uint32).reshape(n, LONGEST).astype(np.uint64)
+        self.size = np.fromiter(map(len, units), np.int64, n)
+        self.weight = np.zeros((LONGEST + 1, LONGEST, n))
+        self.ids = np.zeros((LONGEST + 1, LONGEST, n), np.int32)
+        code = np.ascontiguousarray(code.T)
+        h = np.zeros((LONGEST, n), np.uint64)
+        for k in range(1, int(self.size.max()) + 1):
+            m = LONGEST - k + 1
+            h = (h[:m] + code[k - 1 : k - 1 + m]) * np.uint64(FACTOR)
+            row = model.tables[0][h >> np.uint64(64 - SLOTS)]
+            miss = model.keys[row] != h
+            row[miss] = model.tables[1][(h[miss] >> np.uint64(60 - SLOTS)) & np.uint64((1 << SLOTS) - 1)]
+            row[model.keys[row] != h] = 0
+            self.weight[k, :m] = model.weights[row]
+            self.ids[k, :m] = model.ids[row]
+        self.total = np.zeros((LONGEST + 1, n))
+        self.best = np.zeros((LONGEST + 1, n))
+        self.last = np.zeros((LONGEST + 1, n), np.int64)
+        self.total[0] = self.best[0] = 1.0
+        for j in range(1, LONGEST + 1):
+            for k in range(1, j + 1):
+                w = self.weight[k, j - k]
+                self.total[j] += self.total[j - k] * w
+                x = self.best[j - k] * w
+                better = x > self.best[j]
+                self.best[j][better] = x[better]
+                self.last[j][better] = k
+
+    def walk(self, row: np.ndarray, draws: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """For each row its best path, or with draws (one a step) one that isn't the best, in proportion to its weight: ids from
+        the end, their number, and the product of weights. On the best path, an edge counts by what can still leave it."""
+        n = len(row)
+        out, count, weight = np.zeros((n, LONGEST), np.int32), np.zeros(n, np.int64), np.ones(n)
+        at, on, live = self.size[row].copy(), np.ones(n, bool), np.arange(n)
+        step = 0
+        while len(live):
+            r, j = row[live], at[live]
+            if draws is None:
+                k = self.last[j, r]
+            else:
+                flow = np.zeros((LONGEST, len(live)))
+                for x in range(1, int(j.max()) + 1):
+                    a = j - x
+                    ok = a >= 0
+                    f = np.where(ok, self.total[a, r] * self.weight[x, np.maximum(a, 0), r], 0.0)
+                    stay = on[live] & (self.last[j, r] == x) & ok
+                    if stay.any():
+                        left = 1 - self.best[a[stay], r[stay]] / self.total[a[stay], r[stay]]
+                        f[stay] *= np.where(left > 1e-13, left, 0.0)
+                    flow[x - 1] = f
+                total = np.cumsum(flow, axis=0)
+                k = np.minimum((draws[live, step] * total[-1] >= total).sum(axis=0), LONGEST - 1) + 1
+                on[live] &= k == self.last[j, r]
+            out[live, step] = self.ids[k, j - k, r]
+            weight[live] *= self.weight[k, j - k, r]
+            count[live] += 1
+            at[live] = j - k
+            live = live[at[live] > 0]
+            step += 1
+        return out, count, weight
+
+
 class Units(dict):
     """Unit -> index. Arrays hold, for each index, the log probability of its best segmentation, of all others, and its ids."""
 
@@ -122,127 +207,55 @@ class Units(dict):
         self.pool = np.zeros(8192, np.uint16)
         self.used = 0
 
-    def __missing__(self, unit: str) -> int:
-        n = len(unit)
-        total, best, back = [1.0] + [0.0] * n, [1.0] + [0.0] * n, [None] * (n + 1)
-        model = self.model
-        if model.single.issuperset(unit):
-            # matches come in order of their ends, so that sums are complete when edges leave from there
-            for last, (size, i, w) in model.automaton.iter(unit.replace(" ", SPACE)):
-                j = last + 1
-                a = j - size
-                total[j] += total[a] * w
-                x = best[a] * w
-                if x > best[j]:
-                    best[j], back[j] = x, (a, (i,))
-        else:
-            for j, into in enumerate(model.edges(unit)):
-                for a, piece, w in into:
-                    total[j] += total[a] * w
-                    x = best[a] * w
-                    if x > best[j]:
-                        best[j], back[j] = x, (a, piece)
-        ids: list[int] = []
-        j = n
-        while j:
-            j, piece = back[j]
-            ids[:0] = piece
-        k = len(self.text)
-        if k == len(self.log_p):
+    def learn(self, units: set[str]) -> None:
+        """Adds units that aren't known yet, all at once; those with code points that have no piece one by one."""
+        new = [u for u in units if u not in self]
+        plain = [u for u in new if self.model.single.issuperset(u)]
+        for a in range(0, len(plain), 8192):
+            part = plain[a : a + 8192]
+            lat = Lattices(self.model, part)
+            rows = np.arange(len(part))
+            ids, count, weight = lat.walk(rows)
+            flat = np.concatenate([i[:n][::-1] for i, n in zip(ids, count)])
+            self._add(part, weight / lat.total[lat.size, rows], count, flat)
+        if len(plain) < len(new):
+            for u in set(new).difference(plain):
+                segs, p = _ranked(self.model, u)
+                self._add([u], p[:1], np.array([len(segs[0])]), np.array(segs[0]))
+
+    def _add(self, units: list[str], p: np.ndarray, count: np.ndarray, flat: np.ndarray) -> None:
+        k, n = len(self.text), len(units)
+        while k + n > len(self.log_p):
             for name in ("log_p", "rest", "size", "off"):
                 setattr(self, name, np.concatenate([getattr(self, name)] * 2))
-        while self.used + len(ids) > len(self.pool):
+        while self.used + len(flat) > len(self.pool):
             self.pool = np.concatenate([self.pool, self.pool])
-        p = min(1.0, best[n] / total[n])
-        self.text.append(unit)
-        self.log_p[k] = math.log(p)
-        self.rest[k] = math.log1p(-p) if p < 1 - 1e-12 else -math.inf
-        self.size[k], self.off[k] = len(ids), self.used
-        self.pool[self.used : self.used + len(ids)] = ids
-        self.used += len(ids)
-        self[unit] = k
-        return k
-
-
-def _all(model: Model, unit: str) -> list[tuple[tuple[int, ...], float]]:
-    """Every segmentation of a unit with its weight; at most 2 ** (LONGEST - 1)."""
+        p = np.minimum(p, 1.0)
+        self.log_p[k : k + n] = np.log(p)
+        self.rest[k : k + n] = np.where(p < 1 - 1e-12, np.log1p(-np.minimum(p, 1 - 1e-13)), -np.inf)
+        self.size[k : k + n] = count
+        self.off[k : k + n] = self.used + np.cumsum(count) - count
+        self.pool[self.used : self.used + len(flat)] = flat
+        self.used += len(flat)
+        self.text += units
+        self.update(zip(units, range(k, k + n)))
+
+    def best(self, k: int) -> tuple[int, ...]:
+        return tuple(self.pool[self.off[k] : self.off[k] + self.size[k]].tolist())
+
+
+@functools.lru_cache(maxsize=512)
+def _ranked(model: Model, unit: str) -> tuple[list[tuple[int, ...]], np.ndarray]:
+    """All segmentations of a unit, at most 2 ** (LONGEST - 1), best first, and their probabilities."""
     ends = model.edges(unit)
     made: list[list] = [[((), 1.0)]] + [[] for _ in unit]
     for j in range(1, len(unit) + 1):
         made[j] = [(ids + e[1], w * e[2]) for e in ends[j] for ids, w in made[e[0]]]
-    return made[-1]
-
-
-@functools.lru_cache(maxsize=4096)
-def _ranked(model: Model, unit: str) -> tuple[list[tuple[int, ...]], np.ndarray]:
-    """The segmentations of a unit in a fixed order, and their probabilities."""
-    every = sorted(_all(model, unit), key=lambda x: (-x[1], x[0]))
+    every = sorted(made[-1], key=lambda x: (-x[1], x[0]))
     p = np.array([w for _, w in every])
     return [ids for ids, _ in every], p / p.sum()
 
 
-@functools.lru_cache(maxsize=16_384)
-def _lattice(model: Model, unit: str) -> tuple[list[list[tuple[float, tuple]]], list[tuple[int, tuple, float]], float]:
-    """By end, the shares of the edges that come in, largest first; the best path from the end, as (place, best edge, its
-    share); and the sum of all weights."""
-    ends = model.edges(unit)
-    total, best, shares, back = [1.0], [1.0], [[]], [None]
-    for into in ends[1:]:
-        flows = [(total[e[0]] * e[2], e) for e in into]
-        t = sum([f for f, _ in flows])
-        b, e = max([(best[e[0]] * e[2], -i) for i, e in enumerate(into)])
-        total.append(t)
-        best.append(b)
-        back.append(into[-e])
-        shares.append(sorted([(f / t, e) for f, e in flows], reverse=True) if t else [])
-    path, j = [], len(unit)
-    while j:
-        e = back[j]
-        path.append((j, e, total[e[0]] * e[2] / total[j]))
-        j = e[0]
-    return shares, path, total[-1]
-
-
-def _but_best(model: Model, unit: str, draw: Callable[[], float]) -> tuple[tuple[int, ...], float]:
-    """A segmentation other than the best one, and its log probability: it leaves the best path somewhere, seen from the
-    end, by another edge there, and is free from there on."""
-    shares, path, total = _lattice(model, unit)
-    same, leave = 1.0, []
-    for _, _, share in path:
-        leave.append(same * max(0.0, 1 - share))
-        same *= share
-    u = draw() * sum(leave)
-    at = 0
-    while at < len(path) - 1 and (u >= leave[at] or leave[at] <= 0):
-        u -= leave[at]
-        at += 1
-    out = [e for _, e, _ in path[:at]]
-    j, ruled_out, share = path[at]
-    u = draw() * (1 - share)
-    for p, e in shares[j]:
-        if e is not ruled_out:
-            last = e
-            u -= p
-            if u < 0:
-                break
-    out.append(last)
-    j = last[0]
-    while j:
-        u = draw()
-        for p, e in shares[j]:
-            u -= p
-            if u < 0:
-                break
-        out.append(e)
-        j = e[0]
-    ids: list[int] = []
-    weight = 1.0
-    for e in reversed(out):
-        ids += e[1]
-        weight *= e[2]
-    return tuple(ids), math.log(weight / total)
-
-
 def _other(model: Model, unit: str, not_these: set[tuple[int, ...]], u: float) -> tuple[tuple[int, ...], float, float]:
     """A segmentation that isn't one of these, by inversion; its log probability, and that of all but it and them."""
     segs, p = _ranked(model, unit)
@@ -255,6 +268,29 @@ def _other(model: Model, unit: str, not_these: set[tuple[int, ...]], u: float) -
     return segs[at], math.log(p[at]), math.log(rest) if rest > 0 else -math.inf
 
 
+def _but_best(model: Model, kinds: np.ndarray, draws: np.ndarray) -> list[tuple[tuple[int, ...], float]]:
+    """For each unit index a segmentation other than the unit's best one, and its log probability."""
+    units = model.units
+    every, row = np.unique(kinds, return_inverse=True)
+    out: list = [None] * len(kinds)
+    plain = np.array([model.single.issuperset(units.text[k]) for k in every.tolist()], bool)
+    for e in np.flatnonzero(~plain[row]).tolist():
+        k = int(kinds[e])
+        out[e] = _other(model, units.text[k], {units.best(k)}, float(draws[e, 0]))[:2]
+    place = np.cumsum(plain) - 1
+    names = [units.text[k] for k in every[plain].tolist()]
+    todo = np.flatnonzero(plain[row])
+    for a in range(0, len(names), 8192):
+        lat = Lattices(model, names[a : a + 8192])
+        mine = todo[(place[row[todo]] >= a) & (place[row[todo]] < a + 8192)]
+        at = place[row[mine]] - a
+        ids, count, weight = lat.walk(at, draws[mine])
+        log_p = np.log(weight / lat.total[lat.size[at], at]).tolist()
+        for e, i, n, lp in zip(mine.tolist(), ids.tolist(), count.tolist(), log_p):
+            out[e] = (tuple(i[n - 1 :: -1]) if n else (), lp)
+    return out
+
+
 class Sample:
     """A segmentation: for each unit its best one, but for those in `changed`."""
 
@@ -262,75 +298,109 @@ class Sample:
         self.changed, self.log_p, self.value = changed, log_p, value
 
 
-def _complete(model: Model, t: np.ndarray, rng: np.random.Generator, start: int, head: Sample | None, at: tuple | None, value: float) -> Sample:
-    """A sample that has head's units before `start` - 1, `at` there, and free ones from `start` on."""
-    units = model.units
-    log_p = units.log_p[t].copy()
-    changed: dict[int, tuple[tuple[int, ...], float]] = {}
-    if head is not None and start:
-        log_p[: start - 1] = head.log_p[: start - 1]
-        changed = {i: c for i, c in head.changed.items() if i < start - 1}
-        changed[start - 1] = at[:2]
-        log_p[start - 1] = at[1]
-    p = np.exp(log_p[start:])
-    p[units.rest[t[start:]] == -math.inf] = 2.0
-    draw = random.Random(int(rng.integers(1 << 62))).random
-    for i in (np.flatnonzero(rng.random(len(p)) >= p) + start).tolist():
-        changed[i] = c = _but_best(model, units.text[t[i]], draw)
-        log_p[i] = c[1]
-    return Sample(changed, log_p, value)
-
-
-def _bounds(model: Model, t: np.ndarray, s: Sample, start: int, rng: np.random.Generator) -> np.ndarray:
-    """The largest perturbed value in each node (agree with s before i, differ at i), i from start on."""
-    rest = model.units.rest[t[start:]].copy()
-    for i, (_, lp) in s.changed.items():
-        if i >= start:
-            rest[i - start] = math.log1p(-math.exp(lp)) if lp < -1e-12 else -math.inf
-    before = np.cumsum(s.log_p) - s.log_p
-    noise = -np.log(rng.random(len(rest)) + 1e-300)
-    with np.errstate(over="ignore"):
-        return -np.logaddexp(-s.value, np.log(noise) - (before[start:] + rest))
+class Search:
+    """A-star search over the segmentations of one text."""
 
+    def __init__(self, model: Model, t: np.ndarray, rng: np.random.Generator):
+        self.model, self.t, self.rng = model, t, rng
+        self.out: list[Sample] = []
+        # (-bound, order, sample, unit, segmentations ruled out there or None, bounds of the sample's other nodes, their start)
+        self.heap: list[tuple] = []
+        self.order = 0
+        self.left = -math.inf
 
-def top_k(model: Model, text: str, k: int, rng: np.random.Generator) -> tuple[np.ndarray, list[Sample], float]:
-    """The units of the text, its k samples in order of perturbed value, and the (k + 1)th value."""
-    units = model.units
-    if len(units) > CACHE:
-        units.reset()
-    t = np.fromiter(map(units.__getitem__, _UNITS.findall(" " + text)), np.int64)
-    first = _complete(model, t, rng, 0, None, None, -math.log(-math.log(rng.random() + 1e-300)))
-    out = [first]
-    heap: list[tuple] = []  # (-bound, order, sample, unit, segmentations ruled out there, bounds of the sample's other nodes)
-    order = 0
-
-    def offer(s: Sample, bounds: np.ndarray | None, start: int) -> None:
-        nonlocal order
-        if bounds is not None and len(bounds):
+    def offer(self, s: Sample, bounds: np.ndarray, start: int) -> None:
+        if len(bounds):
             i = int(np.argmax(bounds))
             if bounds[i] > -math.inf:
-                heapq.heappush(heap, (-float(bounds[i]), order, s, start + i, None, bounds, start))
-                order += 1
+                heapq.heappush(self.heap, (-float(bounds[i]), self.order, s, start + i, None, bounds, start))
+                self.order += 1
+
+    def bounds(self, s: Sample, start: int) -> np.ndarray:
+        """The largest perturbed value in each node (agree with s before i, differ at i), i from start on."""
+        rest = self.model.units.rest[self.t[start:]].copy()
+        for i, (_, lp) in s.changed.items():
+            if i >= start:
+                rest[i - start] = math.log1p(-math.exp(lp)) if lp < -1e-12 else -math.inf
+        before = np.cumsum(s.log_p) - s.log_p
+        noise = -np.log(self.rng.random(len(rest)) + 1e-300)
+        return -np.logaddexp(-s.value, np.log(noise) - (before[start:] + rest))
 
-    offer(first, _bounds(model, t, first, 0, rng), 0)
-    while heap and len(out) < k:
-        bound, _, s, i, ruled_out, bounds, start = heapq.heappop(heap)
-        unit = units.text[t[i]]
+    def next(self) -> tuple[Sample, int, set, float] | None:
+        """The best open node: its sample, unit, what is ruled out there, and its bound; what is left of it goes back."""
+        if not self.heap:
+            return None
+        bound, _, s, i, ruled_out, bounds, start = heapq.heappop(self.heap)
         if ruled_out is None:  # one of a sample's vector of nodes: the next of them takes its place
             bounds[i - start] = -math.inf
-            offer(s, bounds, start)
-            best = units.pool[units.off[t[i]] : units.off[t[i]] + units.size[t[i]]].tolist()
-            ruled_out = {s.changed[i][0] if i in s.changed else tuple(best)}
-        found = _other(model, unit, ruled_out, rng.random())
-        new = _complete(model, t, rng, i + 1, s, found, -bound)
-        out.append(new)
-        offer(new, _bounds(model, t, new, i + 1, rng), i + 1)
-        if found[2] > -math.inf:  # what else is left at this unit
-            mass = float(s.log_p[:i].sum()) + found[2]
-            left = -float(np.logaddexp(bound, math.log(-math.log(rng.random() + 1e-300)) - mass))
-            heapq.heappush(heap, (-left, order, s, i, ruled_out | {found[0]}, None, 0))
-            order += 1
-    return t, out, -heap[0][0] if heap else -math.inf
+            self.offer(s, bounds, start)
+            ruled_out = {s.changed[i][0] if i in s.changed else self.model.units.best(int(self.t[i]))}
+        return s, i, ruled_out, -bound
+
+    def begin(self, head: Sample | None, start: int, at: tuple | None, value: float) -> tuple[Sample, np.ndarray]:
+        """A sample with head's units before start - 1 and `at` there; and the units from start on that aren't the best."""
+        units = self.model.units
+        log_p = units.log_p[self.t]
+        changed: dict[int, tuple[tuple[int, ...], float]] = {}
+        if head is not None:
+            log_p[: start - 1] = head.log_p[: start - 1]
+            changed = {i: c for i, c in head.changed.items() if i < start - 1}
+            changed[start - 1] = at[:2]
+            log_p[start - 1] = at[1]
+        p = np.exp(log_p[start:])
+        p[units.rest[self.t[start:]] == -math.inf] = 2.0
+        return Sample(changed, log_p, value), np.flatnonzero(self.rng.random(len(p)) >= p) + start
+
+
+def _finish(model: Model, begun: list[tuple[Search, Sample, np.ndarray, int]]) -> None:
+    """Draws the units that differ from the best for all samples at once, and opens their nodes."""
+    kinds = [x.t[e] for x, _, e, _ in begun]
+    draws = [x.rng.random((len(e), LONGEST)) for x, _, e, _ in begun]
+    found = iter(_but_best(model, np.concatenate(kinds), np.concatenate(draws)) if sum(map(len, kinds)) else ())
+    for x, s, events, start in begun:
+        for i in events.tolist():
+            s.changed[i] = c = next(found)
+            s.log_p[i] = c[1]
+        x.out.append(s)
+        x.offer(s, x.bounds(s, start), start)
+
+
+def top_k(model: Model, texts: list[str], k: int, rngs: list[np.random.Generator]) -> list[Search]:
+    """A finished search for each text: `t` has its units, `out` its samples in order of perturbed value, and `left` is the
+    (k + 1)th value."""
+    units = model.units
+    if len(units) > CACHE:
+        units.reset()
+    cut = [_UNITS.findall(" " + x) for x in texts]
+    units.learn(set().union(*cut))
+    searches = [Search(model, np.fromiter(map(units.__getitem__, c), np.int64, len(c)), r) for c, r in zip(cut, rngs)]
+    begun = [(x, *x.begin(None, 0, None, -math.log(-math.log(x.rng.random() + 1e-300))), 0) for x in searches]
+    _finish(model, begun)
+    for _ in range(1, k):
+        nodes = [(x, n) for x in searches if (n := x.next()) is not None]
+        # most nodes rule out just the unit's best segmentation: these are drawn together
+        easy = [(x, n) for x, n in nodes if len(n[2]) == 1 and n[1] not in n[0].changed]
+        drawn = iter(_but_best(model, np.array([x.t[n[1]] for x, n in easy], np.int64), np.stack([x.rng.random(LONGEST) for x, _ in easy])) if easy else ())
+        begun = []
+        for x, (s, i, ruled_out, bound) in nodes:
+            unit = int(x.t[i])
+            if len(ruled_out) == 1 and i not in s.changed:
+                ids, lp = next(drawn)
+                rest = 1 - math.exp(units.log_p[unit]) - math.exp(lp)
+                found = (ids, lp, math.log(rest) if rest > 1e-12 else -math.inf)
+            else:
+                found = _other(model, units.text[unit], ruled_out, x.rng.random())
+            begun.append((x, *x.begin(s, i + 1, found, bound), i + 1))
+            if found[2] > -math.inf:  # what else is left at this unit
+                mass = float(s.log_p[:i].sum()) + found[2]
+                left = -float(np.logaddexp(-bound, math.log(-math.log(x.rng.random() + 1e-300)) - mass))
+                heapq.heappush(x.heap, (-left, x.order, s, i, ruled_out | {found[0]}, None, 0))
+                x.order += 1
+        if begun:
+            _finish(model, begun)
+    for x in searches:
+        x.left = -x.heap[0][0] if x.heap else -math.inf
+    return searches
 
 
 def ids_of(model: Model, t: np.ndarray, s: Sample) -> np.ndarray:
@@ -372,15 +442,14 @@ def encode(docs: DataFrame, k: int = K, alpha: float = ALPHA, seed: int = SEED,
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = model_of(path, alpha)
         for batch in batches:
-            for a in range(0, batch.num_rows, 256):
+            for a in range(0, batch.num_rows, ROWS):
+                ids_, texts = batch["doc_id"][a : a + ROWS].to_pylist(), [x or "" for x in batch["text"][a : a + ROWS].to_pylist()]
                 rows: list[tuple] = []
-                for doc_id, text in zip(batch["doc_id"][a : a + 256].to_pylist(), batch["text"][a : a + 256].to_pylist()):
-                    text = text or ""
-                    t, found, kappa = top_k(model, text, k, generator(seed, doc_id, text))
-                    for rank, s in enumerate(found, 1):
-                        ids = ids_of(model, t, s)
+                for doc_id, text, x in zip(ids_, texts, top_k(model, texts, k, [generator(seed, i, t) for i, t in zip(ids_, texts)])):
+                    for rank, s in enumerate(x.out, 1):
+                        ids = ids_of(model, x.t, s)
                         log_p = float(s.log_p.sum())
-                        score = 1.0 if kappa == -math.inf else -math.expm1(-math.exp(min(700.0, log_p - kappa)))
+                        score = 1.0 if x.left == -math.inf else -math.expm1(-math.exp(min(700.0, log_p - x.left)))
                         raw = ids.astype("<u2").tobytes()
                         rows.append((doc_id, rank, len(ids), raw, zlib.crc32(raw), log_p, s.value, score, model.decode(ids) == text))
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _ARROW)], schema=_ARROW)
