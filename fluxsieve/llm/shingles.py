@@ -44,6 +44,8 @@ CHUNK = 1 << 22
 ROUNDS = 4
 #: Bits of a signature; a power of two.
 BITS = 1024
+#: Bits of the bitmap of wanted keys.
+SLOTS = 1 << 24
 #: Bytes of sets in a block of the product, about.
 BLOCK_BYTES = 24 << 20
 
@@ -230,6 +232,27 @@ def _postings(docs: DataFrame, k: int, num: int, den: int, order: Order) -> Data
     return rows.repartition(F.col("gram")).sortWithinPartitions("gram", "cls").mapInArrow(shared_only, "gram long, cls binary, n int, pos int")
 
 
+def _likely(texts: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The rows of texts(key, text) whose key may be wanted, so that few others are shuffled: a bitmap of SLOTS hashed keys,
+    which is broadcast, lets all wanted ones pass, and more of the rest as it fills."""
+    slot = F.pmod(F.xxhash64(F.lit(3), "key"), F.lit(SLOTS))
+    word = F.call_function("shiftright", slot, F.lit(6))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), slot.bitwiseAND(F.lit(63)).cast("int"))
+    bitmap = np.zeros(SLOTS // 64, np.int64)
+    for row in wanted.groupBy(word.alias("w")).agg(F.bit_or(bit).alias("b")).collect():
+        bitmap[row["w"]] = row["b"]
+    shared = texts.sparkSession.sparkContext.broadcast(bitmap)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = shared.value
+        for batch in batches:
+            at = batch["slot"].to_numpy()
+            ok = bits[at >> 6] >> (at & 63) & 1
+            yield batch.select(["key", "text"]).filter(pa.array(ok.astype(bool)))
+
+    return texts.withColumn("slot", slot).mapInArrow(run, "key long, text string")
+
+
 def _try(docs: DataFrame, reps: DataFrame, pairs: DataFrame, k: int, num: int, den: int) -> DataFrame:
     """pairs(a, b, n_a, n_b) -> the links (a, b) among them, as spanning forests of blocks."""
     for side in "ab":
@@ -252,8 +275,8 @@ def _try(docs: DataFrame, reps: DataFrame, pairs: DataFrame, k: int, num: int, d
     chunk = F.pmod(F.xxhash64("b"), F.col("chunks"))
     pairs = cut(pairs.join(degree, "a").withColumn("part", F.pmod(F.xxhash64("a", chunk), F.lit(parts)).cast("int")))
     wanted = pairs.select("part", F.explode(F.array("a", "b")).alias("cls")).groupBy("cls").agg(F.collect_set("part").alias("parts"))
-    wanted = wanted.join(reps, "cls").select("key", "cls", "parts")
-    texts = docs.select(_key(), "text").join(wanted.hint("shuffle_hash"), "key").select("cls", "parts", "text")
+    wanted = cut(wanted.join(reps, "cls").select("key", "cls", "parts"))
+    texts = _likely(docs.select(_key(), "text"), wanted).join(wanted.hint("shuffle_hash"), "key").select("cls", "parts", "text")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
