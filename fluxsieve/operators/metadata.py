@@ -22,8 +22,7 @@ SIGNAL_KINDS = (
     ("Angle", "PA", "?PHA"), ("Magnitude", "PM", "?PHM"), ("Frequency", "FQ", "FREQ"), ("DfDt", "DF", "DFDT"), ("Status", "SF", "FLAG"), ("Digital", "DV", "DIGI"),
     ("Analog", "AV", "ALOG"), ("Calculation", "CV", "CALC"), ("Statistic", "ST", "STAT"), ("Alarm", "AL", "ALRM"), ("Quality", "QF", "QUAL"), ("Unknown", "??", "NULL"),
 )
-#: Protocols that carry single measurements rather than frames.
-MEASUREMENT_PROTOCOLS = ("Streaming Telemetry Transport Protocol", "STTP")
+#: Beginnings of the names of protocols that carry single measurements rather than frames.
 MEASUREMENT_PREFIXES = ("GATEWAY", "MODBUS", "DNP")
 
 
@@ -33,9 +32,10 @@ def last_by(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n")
 
 
-def protocol_type(protocol: Column) -> Column:
+def protocol_type(protocol: Column, others: Sequence[str] = ()) -> Column:
+    """others: further protocols of single measurements, by full name."""
     up = F.upper(F.coalesce(protocol, F.lit("")))
-    hit = up.isin(*[p.upper() for p in MEASUREMENT_PROTOCOLS])
+    hit = up.isin(*[p.upper() for p in others]) if others else F.lit(False)
     for p in MEASUREMENT_PREFIXES:
         hit = hit | F.startswith(up, F.lit(p))
     return F.when(hit, F.lit("Measurement")).otherwise(F.lit("Frame"))
