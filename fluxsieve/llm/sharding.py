@@ -15,7 +15,6 @@ empty texts are one group; an empty table gives no rows; repeated rows get slots
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
