@@ -19,16 +19,19 @@ from .dataset import RID, DataSet
 ZERO_GUID = "00000000-0000-0000-0000-000000000000"
 
 
-def order_column(df: DataFrame, o: Order) -> Column:
-    """Nulls first going up and last going down; true before false; text without regard to case unless exact."""
+def order_value(df: DataFrame, o: Order) -> Column:
+    """What an order term sorts by: true before false; text without regard to case unless exact."""
     f = {f.name.upper(): f for f in df.schema.fields}.get(o.column.upper())
     if f is None:
         raise FilterError(f"no column {o.column} to order by")
     kind, c = value_type(f), F.col(f"`{f.name}`")
     if kind == V.BOOLEAN:
-        c = ~c
-    elif kind == V.STRING and not o.exact:
-        c = F.upper(c)
+        return ~c
+    return F.upper(c) if kind == V.STRING and not o.exact else c
+
+
+def directed(c: Column, o: Order) -> Column:
+    """Nulls come first going up and last going down."""
     return c.desc_nulls_last() if o.descending else c.asc_nulls_first()
 
 
@@ -36,7 +39,7 @@ def run_filter(df: DataFrame, f: Filter, strict: bool = True, sort: bool = True,
     out = df.where(Binder(df).predicate(f.where, strict))
     if limit and f.top >= 0:
         out = out.orderBy(RID).limit(f.top)
-    return out.orderBy(*[order_column(df, o) for o in f.order], RID) if sort and f.order else out
+    return out.orderBy(*[directed(order_value(df, o), o) for o in f.order], RID) if sort and f.order else out
 
 
 def run_identifier(data: DataSet, table: str, i: Identifier) -> DataFrame:
@@ -80,22 +83,21 @@ def select_rows(data: DataSet, text: str, primary: str | None = None, *, sort: b
         if isinstance(s, Identifier):
             return run_identifier(data, table, s)
         return run_filter(df, s if isinstance(s, Filter) else Filter(table, s.root), strict, sort, limit)
-    # identifiers come first; within a statement rows keep their order
+    # identifiers come first; within a statement rows keep its order, by columns that are null for the others
+    filters = {i: s if isinstance(s, Filter) else Filter(table, s.root) for i, s in enumerate(statements) if not isinstance(s, Identifier)}
+    terms = [(i, f"_k{i}_{j}", o) for i, f in filters.items() for j, o in enumerate(f.order)] if sort else []
     parts = []
-    for rank, s in sorted(enumerate(statements), key=lambda x: (not isinstance(x[1], Identifier), x[0])):
-        f = s if isinstance(s, Filter) else Filter(table, s.root) if isinstance(s, Expression) else None
-        part = run_identifier(data, table, s) if f is None else run_filter(df, f, strict, False, limit)
-        order = [order_column(df, o) for o in f.order] if f is not None and sort else []
-        # a rank within the statement is needed only where it sorts; else the natural order is the rank
-        at = F.row_number().over(Window.orderBy(*order, RID)).cast("long") if order else F.col(RID)
-        parts.append(part.withColumns({"_statement": F.lit((rank if f is not None else rank - len(statements))), "_at": at}))
+    for i, s in enumerate(statements):
+        part = run_filter(df, filters[i], strict, False, limit) if i in filters else run_identifier(data, table, s)
+        rank = i if i in filters else i - len(statements)
+        keys = {k: order_value(df, o) if of == i else F.when(F.lit(False), order_value(df, o)) for of, k, o in terms}
+        parts.append(part.withColumns({"_statement": F.lit(rank), **keys}))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
     if distinct is not False:
-        first = F.row_number().over(Window.partitionBy(RID).orderBy("_statement", "_at"))
-        out = out.withColumn("_n", first).where("_n = 1").drop("_n")
-    return out.orderBy("_statement", "_at").drop("_statement", "_at")
+        out = out.withColumn("_n", F.row_number().over(Window.partitionBy(RID).orderBy("_statement"))).where("_n = 1").drop("_n")
+    return out.orderBy("_statement", *[directed(F.col(k), o) for _, k, o in terms], RID).drop("_statement", *[k for _, k, _ in terms])
 
 
 def select_row_set(data: DataSet, text: str, primary: str | None = None, *, strict: bool = True) -> DataFrame:

@@ -54,7 +54,6 @@ def value(table: str, text: str) -> Query:
 #: Filters: name, table, filter text, DuckDB condition (or a whole query).
 FILTERS = (
     ("filter_basic", "customer", "FILTER customer WHERE c_mktsegment = 'building' AND c_acctbal > 1000", "upper(c_mktsegment) = 'BUILDING' AND c_acctbal > 1000"),
-    ("filter_nonboolean_empty", "customer", "FILTER customer WHERE c_custkey IS NULL", "c_custkey IS NULL"),
     ("bare_expression", "part", "p_type LIKE 'eco%'", "starts_with(upper(p_type), 'ECO')"),
     ("like_prefix", "part", "FILTER part WHERE p_type LIKE 'eco%'", "starts_with(upper(p_type), 'ECO')"),
     ("like_suffix", "part", "FILTER part WHERE p_type LIKE '*STEEL'", "ends_with(upper(p_type), 'STEEL')"),
@@ -311,6 +310,7 @@ def _ntz(text: str) -> F.Column:
 
 #: Name, query, DuckDB SQL.
 OTHERS: tuple[tuple[str, Query, str], ...] = (
+    ("filter_nonboolean_empty", lambda s, d: Q.select_rows(data(s, d, "customer"), "FILTER customer WHERE Len(c_name)", strict=False).drop(RID), "SELECT * FROM customer WHERE false"),
     ("project_signal_ids", lambda s, d: Q.select_signal_ids(data(s, d, "customer"), "FILTER customer WHERE c_nationkey < 3", "customer"), "SELECT DISTINCT lower(c_name) AS signal_id FROM customer WHERE c_nationkey < 3"),
     ("signal_id_set", lambda s, d: Q.select_signal_ids(data(s, d, "customer"), "{12345678-1234-1234-1234-123456789ABC}; \"Customer#000000009\"; c_nationkey = 2", "customer"), "SELECT '12345678-1234-1234-1234-123456789abc' AS signal_id UNION SELECT lower(c_name) FROM customer WHERE c_nationkey = 2 OR c_name = 'Customer#000000009'"),
     ("identifier_guid", lambda s, d: Q.select_signal_ids(data(s, d, "customer"), "12345678-1234-1234-1234-123456789ABC", "customer"), "SELECT '12345678-1234-1234-1234-123456789abc' AS signal_id"),

@@ -35,6 +35,7 @@ def test_statements(two):
     assert run("FILTER ActiveMeasurements WHERE True ORDER BY Enabled, SignalID")[1:] == [STAT, FREQ]
     assert run("FILTER ActiveMeasurements WHERE SignalType = 'freq'; {" + STAT + "}") == [STAT, FREQ]
     assert run(f"{STAT}; {FREQ}; {STAT}") == [STAT, FREQ]
+    assert run("FILTER ActiveMeasurements WHERE SignalType IN ('stat', 'freq') ORDER BY SignalType; PPA:13; FILTER ActiveMeasurements WHERE True ORDER BY Enabled DESC")[1:] == [FREQ, STAT]
     assert run("ppa:12") == [FREQ]
     assert run('"TAG2";;"tag1"') == [FREQ, STAT]
     assert run("FILTER ActiveMeasurements WHERE Len(SignalType)", strict=False) == []
