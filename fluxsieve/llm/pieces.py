@@ -41,8 +41,8 @@ SHIFT = 10.0
 SEED = 20240917
 LONGEST = 10
 CACHE = 250_000
-#: Texts that are searched together.
-ROWS = 256
+#: Texts that are searched together, and their code points, about; a longer text is searched alone.
+ROWS, CHARS = 512, 2_000_000
 #: Bits of a slot in the tables of pieces; factor of their hash.
 SLOTS, FACTOR = 20, 0x9E3779B97F4A7C15
 SPACE = "▁"
@@ -434,6 +434,21 @@ _ARROW = pa.schema([
 ])
 
 
+def _parts(batch: pa.RecordBatch) -> Iterator[tuple[list, list[str]]]:
+    """Ids and texts of a batch, so many at a time as are searched together; a null text is empty."""
+    ids, texts, size = [], [], 0
+    for doc_id, text in zip(batch["doc_id"], batch["text"]):
+        text = text.as_py() or ""
+        if ids and (len(ids) == ROWS or size + len(text) > CHARS):
+            yield ids, texts
+            ids, texts, size = [], [], 0
+        ids.append(doc_id.as_py())
+        texts.append(text)
+        size += len(text)
+    if ids:
+        yield ids, texts
+
+
 def encode(docs: DataFrame, k: int = K, alpha: float = ALPHA, seed: int = SEED, path: str | None = None) -> DataFrame:
     """docs(doc_id, text, ...) -> SCHEMA: up to k rows for each row, rank from 1; ids are 16-bit little-endian; round_trip
     says that decoding them gives the text back."""
@@ -442,8 +457,7 @@ def encode(docs: DataFrame, k: int = K, alpha: float = ALPHA, seed: int = SEED,
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = model_of(path, alpha)
         for batch in batches:
-            for a in range(0, batch.num_rows, ROWS):
-                ids_, texts = batch["doc_id"][a : a + ROWS].to_pylist(), [x or "" for x in batch["text"][a : a + ROWS].to_pylist()]
+            for ids_, texts in _parts(batch):
                 rows: list[tuple] = []
                 for doc_id, text, x in zip(ids_, texts, top_k(model, texts, k, [generator(seed, i, t) for i, t in zip(ids_, texts)])):
                     for rank, s in enumerate(x.out, 1):
