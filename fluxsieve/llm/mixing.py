@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import SPACE, word_count
+from .common import SPACE, cut, word_count
 
 #: Weights of the sources in code-point order, repeating.
 WEIGHTS = (5.0, 2.0, 1.0)
@@ -92,13 +92,16 @@ def mix(docs: DataFrame, share: float = 1.5, most: float = 2.0, weights: tuple =
         *more, "doc_id", "source", word_count(F.col("text")).alias("size"),
         F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), F.md5(F.coalesce("text", F.lit(""))))).alias("order"),
     )
-    targets = source_targets(base.select("source", "size"), share, most, weights)
+    slim = cut(base.drop("row"))
+    base = base if carry else slim
+    targets = source_targets(slim.select("source", "size"), share, most, weights)
     quotas = block_quotas(targets, block, shards).groupBy(F.col("source").alias("of")).agg(F.sum("quota").alias("quota"))
     plan = targets.join(quotas, F.col("source").eqNullSafe(F.col("of"))).select("of", "source_size", "target", "quota")
 
-    slices = max(SLICES, docs.count() // ROWS)
-    base = base.withColumn("slice", F.floor(F.conv(F.substring("order", 1, 8), 16, 10).cast("double") * slices / float(1 << 32)))
-    sums = base.groupBy(F.col("source").alias("in_source"), F.col("slice").alias("in_slice")).agg(F.sum("size").alias("sum"))
+    slices = max(SLICES, slim.count() // ROWS)
+    place = F.floor(F.conv(F.substring("order", 1, 8), 16, 10).cast("double") * slices / float(1 << 32))
+    base, slim = base.withColumn("slice", place), slim.withColumn("slice", place)
+    sums = slim.groupBy(F.col("source").alias("in_source"), F.col("slice").alias("in_slice")).agg(F.sum("size").alias("sum"))
     ahead = Window.partitionBy("in_source").orderBy("in_slice")
     sums = sums.withColumn("ahead", F.sum("sum").over(ahead) - F.col("sum")).drop("sum")
     per = sums.join(plan, F.col("in_source").eqNullSafe(F.col("of"))).drop("of")
