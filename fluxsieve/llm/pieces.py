@@ -1,8 +1,8 @@
 """SentencePiece encoding and decoding, with sampled segmentations without replacement.
 
-The lattice of a text has the pieces of a SentencePiece model as edges. Units, cut before spaces, at line ends and
-after LONGEST code points, are independent parts of it: no piece crosses a cut. A code point without a piece
-is spelled in byte pieces. A piece weighs (rank + SHIFT) ** -alpha, Zipf's law for the model's merge ranks, and a
+The lattice of a text has the pieces of a SentencePiece model as edges. Units, cut before runs of spaces and at line ends,
+are independent parts of it: no piece crosses a cut. Long units are cut further between code points that no piece has
+side by side. A code point without a piece is spelled in byte pieces. A piece weighs (rank + SHIFT) ** -alpha, Zipf's law for the model's merge ranks, and a
 segmentation has the product of its pieces' weights over the sum for all (per unit, by a forward sum).
 
 Gumbel top-k without replacement: every segmentation has its log probability plus Gumbel noise; the k largest are
@@ -39,15 +39,18 @@ K = 2
 ALPHA = 3.0
 SHIFT = 10.0
 SEED = 20240917
-LONGEST = 10
+#: Units of more code points are cut where no piece crosses.
+LONG = 16
 CACHE = 250_000
 #: Texts that are searched together, and their code points, about; a longer text is searched alone.
 ROWS, CHARS = 512, 2_000_000
+#: Code points in lattices that are built together, about; a longer unit is built alone.
+CELLS = 8192 * 10
 #: Bits of a slot in the tables of pieces; factor of their hash.
 SLOTS, FACTOR = 20, 0x9E3779B97F4A7C15
 SPACE = "▁"
 
-_UNITS = re.compile(rf" [^ \n]{{0,{LONGEST - 1}}}|[^ \n]{{1,{LONGEST}}}|\n")
+_UNITS = re.compile(r" +[^ \n]*|[^ \n]+|\n")
 
 
 def model_path(name: str = MODEL) -> str:
@@ -80,7 +83,15 @@ class Model:
         self.lens = np.array([len(b) for b in spelled], np.int64)
         self.offs = np.cumsum(self.lens) - self.lens
         self.spelled = np.frombuffer(b"".join(spelled), np.uint8)
-        self._hash([p for p in self.pieces if len(p) <= LONGEST])
+        self.longest = max(map(len, self.pieces))
+        if alpha * math.log10(SHIFT + n) * self.longest > 300:
+            raise ValueError("weights of this alpha leave the range of doubles")
+        if any(re.search(f"[^{SPACE}]{SPACE}|{SPACE}{SPACE}[^{SPACE}]|\\n", p) for p in self.pieces) or not self.single.issuperset("".join(self.pieces).replace(SPACE, " ")):
+            raise ValueError("a piece of this model crosses words or lines, or has a code point that is no piece")
+        self.pairs = frozenset(p[i : i + 2].replace(SPACE, " ") for p in self.pieces for i in range(len(p) - 1))
+        #: Code points of each piece.
+        self.chars = np.array([len(sp.id_to_piece(i)) for i in range(n)], np.int64)
+        self._hash(list(self.pieces))
         self.units = Units(self)
 
     def _hash(self, pieces: list[str]) -> None:
@@ -102,6 +113,17 @@ class Model:
         self.ids = np.array([r[1] for r in rows], np.int32)
         self.weights = np.array([r[2] for r in rows])
 
+    def cut(self, text: str) -> list[str]:
+        """The units of a text. A unit that is long or has code points without a piece is cut wherever no piece crosses."""
+        out: list[str] = []
+        for u in _UNITS.findall(" " + text):
+            if u in self.units or len(u) <= LONG and self.single.issuperset(u):
+                out.append(u)
+            else:
+                at = [0, *(i for i in range(1, len(u)) if u[i - 1 : i + 1] not in self.pairs), len(u)]
+                out += [u[a:b] for a, b in zip(at, at[1:])]
+        return out
+
     def edges(self, unit: str) -> list[list[tuple[int, tuple[int, ...], float]]]:
         """For each place in the unit the edges that end there: (start, ids, weight)."""
         s = unit.replace(SPACE, "\uffff").replace(" ", SPACE)
@@ -123,71 +145,108 @@ class Model:
 
 
 class Lattices:
-    """The lattices of many units at once; every code point of them has a piece. Arrays by (unit, start, length) hold the
-    edges' weights and ids, by (unit, end) the sums over paths, the best path's weight, and the length of its last edge."""
+    """The lattices of many units at once; every code point of them has a piece. Arrays by (end, length - 1, unit) hold the
+    edges' ids, and their shares of the sum over all paths that end there; by (end, unit) the logarithms of that sum and of the
+    best path's part of it, and the length of its last edge. Sums are carried as ratios, so that long units stay in range."""
 
     def __init__(self, model: Model, units: list[str]):
         n = len(units)
-        code = np.frombuffer("".join([u.ljust(LONGEST, "\0") for u in units]).replace(" ", SPACE).encode("utf-32-le"), np.uint32).reshape(n, LONGEST).astype(np.uint64)
         self.size = np.fromiter(map(len, units), np.int64, n)
-        self.weight = np.zeros((LONGEST + 1, LONGEST, n))
-        self.ids = np.zeros((LONGEST + 1, LONGEST, n), np.int32)
+        m = int(self.size.max())
+        top = min(m, model.longest)
+        code = np.frombuffer("".join([u.ljust(m, "\0") for u in units]).replace(" ", SPACE).encode("utf-32-le"), np.uint32).reshape(n, m).astype(np.uint64)
+        self.share = np.zeros((m + 1, top, n))
+        self.ids = np.zeros((m + 1, top, n), np.int32)
         code = np.ascontiguousarray(code.T)
-        h = np.zeros((LONGEST, n), np.uint64)
-        for k in range(1, int(self.size.max()) + 1):
-            m = LONGEST - k + 1
-            h = (h[:m] + code[k - 1 : k - 1 + m]) * np.uint64(FACTOR)
+        h = np.zeros((m, n), np.uint64)
+        for k in range(1, top + 1):
+            h = (h[: m - k + 1] + code[k - 1 :]) * np.uint64(FACTOR)
             row = model.tables[0][h >> np.uint64(64 - SLOTS)]
             miss = model.keys[row] != h
             row[miss] = model.tables[1][(h[miss] >> np.uint64(60 - SLOTS)) & np.uint64((1 << SLOTS) - 1)]
             row[model.keys[row] != h] = 0
-            self.weight[k, :m] = model.weights[row]
-            self.ids[k, :m] = model.ids[row]
-        self.total = np.zeros((LONGEST + 1, n))
-        self.best = np.zeros((LONGEST + 1, n))
-        self.last = np.zeros((LONGEST + 1, n), np.int64)
-        self.total[0] = self.best[0] = 1.0
-        for j in range(1, LONGEST + 1):
-            for k in range(1, j + 1):
-                w = self.weight[k, j - k]
-                self.total[j] += self.total[j - k] * w
-                x = self.best[j - k] * w
-                better = x > self.best[j]
-                self.best[j][better] = x[better]
-                self.last[j][better] = k
-
-    def walk(self, row: np.ndarray, draws: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """For each row its best path, or with draws (one a step) one that isn't the best, in proportion to its weight: ids from
-        the end, their number, and the product of weights. On the best path, an edge counts by what can still leave it."""
+            self.share[k:, k - 1] = model.weights[row]
+            self.ids[k:, k - 1] = model.ids[row]
+        self.log_total = np.zeros((m + 1, n))
+        self.log_best = np.zeros((m + 1, n))
+        self.last = np.zeros((m + 1, n), np.int64)
+        # by length - 1: the sum over paths, and the best path, at an edge's start over those at the place before
+        sums, highs = np.zeros((top, n)), np.zeros((top, n))
+        sums[0] = highs[0] = 1.0
+        for j in range(1, m + 1):
+            c = min(j, top)
+            part = sums[:c] * self.share[j, :c]
+            path = highs[:c] * self.share[j, :c]
+            total, best = part.sum(axis=0), path.max(axis=0)
+            total[total == 0] = best[best == 0] = 1.0  # behind a unit's end
+            self.share[j, :c] = part / total
+            self.last[j] = path.argmax(axis=0) + 1
+            self.log_total[j] = self.log_total[j - 1] + np.log(total)
+            self.log_best[j] = self.log_best[j - 1] + np.log(best / total)
+            sums[1 : c + 1] = (sums[:c] / total)[: top - 1]
+            highs[1 : c + 1] = (highs[:c] / best)[: top - 1]
+
+    @property
+    def total(self) -> np.ndarray:
+        return np.exp(self.log_total)
+
+    def walk(self, row: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """For each row its best path: ids from the end, their number, and the product of weights (of units that are short)."""
+        ids, count, log_p = self.paths(row)
+        return ids, count, np.exp(log_p + self.log_total[self.size[row], row])
+
+    def paths(self, row: np.ndarray, draws: np.ndarray | None = None, at: np.ndarray | None = None, on: np.ndarray | None = None, ruled: list | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """For each row its best path, or with draws (one a step, from `at` on) one in proportion to its weight, that isn't the
+        best one where `on`, nor any of `ruled` (index of row, lengths of edges): ids from the end, their number, and the log
+        probability. On a path that is ruled out, an edge counts by what can still leave it."""
         n = len(row)
-        out, count, weight = np.zeros((n, LONGEST), np.int32), np.zeros(n, np.int64), np.ones(n)
-        at, on, live = self.size[row].copy(), np.ones(n, bool), np.arange(n)
+        out, count, log_p = np.zeros((n, int(self.size[row].max(initial=0))), np.int32), np.zeros(n, np.int64), np.zeros(n)
+        place, live, where = self.size[row].copy(), np.arange(n), np.zeros(n, np.int64)
+        ruled = ruled or []
+        owner = np.array([e for e, _ in ruled], np.int64)
+        edge, before = (np.zeros((len(ruled), max([len(k) for _, k in ruled], default=0) + 1), kind) for kind in (np.int64, float))
+        for x, (e, k) in enumerate(ruled):
+            ends = np.cumsum(k)
+            edge[x, : len(k)] = k[::-1]
+            before[x, : len(k) - 1] = np.cumsum(np.log(self.share[ends, k - 1, row[e]]))[-2::-1]
+        alive = np.ones(len(ruled), bool)
         step = 0
         while len(live):
-            r, j = row[live], at[live]
+            r, j = row[live], place[live]
             if draws is None:
                 k = self.last[j, r]
             else:
-                flow = np.zeros((LONGEST, len(live)))
-                for x in range(1, int(j.max()) + 1):
-                    a = j - x
-                    ok = a >= 0
-                    f = np.where(ok, self.total[a, r] * self.weight[x, np.maximum(a, 0), r], 0.0)
-                    stay = on[live] & (self.last[j, r] == x) & ok
-                    if stay.any():
-                        left = 1 - self.best[a[stay], r[stay]] / self.total[a[stay], r[stay]]
-                        f[stay] *= np.where(left > 1e-13, left, 0.0)
-                    flow[x - 1] = f
-                total = np.cumsum(flow, axis=0)
-                k = np.minimum((draws[live, step] * total[-1] >= total).sum(axis=0), LONGEST - 1) + 1
+                flow = self.share[j, :, r]
+                mass = np.zeros_like(flow)
+                stay = np.flatnonzero(on[live])
+                k = self.last[j[stay], r[stay]]
+                mass[stay, k - 1] = np.exp(self.log_best[j[stay] - k, r[stay]])
+                where[live] = np.arange(len(live))
+                x = np.flatnonzero(alive)
+                if len(x):
+                    np.add.at(mass, (where[owner[x]], edge[x, step] - 1), np.exp(before[x, step]))
+                flow *= np.where(mass < 1 - 1e-13, 1 - mass, 0.0)
+                total = np.cumsum(flow, axis=1)
+                k = np.minimum(((draws[at[live] + step] * total[:, -1])[:, None] >= total).sum(axis=1), total.shape[1] - 1) + 1
                 on[live] &= k == self.last[j, r]
-            out[live, step] = self.ids[k, j - k, r]
-            weight[live] *= self.weight[k, j - k, r]
+                if len(x):
+                    alive[x] = k[where[owner[x]]] == edge[x, step]
+            out[live, step] = self.ids[j, k - 1, r]
+            log_p[live] += np.log(self.share[j, k - 1, r])
             count[live] += 1
-            at[live] = j - k
-            live = live[at[live] > 0]
+            place[live] = j - k
+            live = live[place[live] > 0]
             step += 1
-        return out, count, weight
+        return out, count, log_p
+
+
+def _chunks(size: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Ranges of units, by ascending size, whose lattices are built together."""
+    a = 0
+    while a < len(size):
+        b = a + max(1, int(np.searchsorted(np.arange(1, len(size) - a + 1) * size[a:], CELLS, side="right")))
+        yield a, b
+        a = b
 
 
 class Units(dict):
@@ -201,6 +260,7 @@ class Units(dict):
         self.clear()
         self.text: list[str] = []
         self.log_p = np.zeros(1024)
+        self.chars = np.zeros(1024, np.int64)
         self.rest = np.zeros(1024)
         self.size = np.zeros(1024, np.int64)
         self.off = np.zeros(1024, np.int64)
@@ -208,31 +268,29 @@ class Units(dict):
         self.used = 0
 
     def learn(self, units: set[str]) -> None:
-        """Adds units that aren't known yet, all at once; those with code points that have no piece one by one."""
-        new = [u for u in units if u not in self]
+        """Adds units that aren't known yet, all at once; a code point without a piece has one segmentation."""
+        new = sorted((u for u in units if u not in self), key=lambda u: (len(u), u))
         plain = [u for u in new if self.model.single.issuperset(u)]
-        for a in range(0, len(plain), 8192):
-            part = plain[a : a + 8192]
-            lat = Lattices(self.model, part)
-            rows = np.arange(len(part))
-            ids, count, weight = lat.walk(rows)
+        for a, b in _chunks(np.fromiter(map(len, plain), np.int64, len(plain))):
+            lat = Lattices(self.model, plain[a:b])
+            ids, count, _ = lat.paths(np.arange(b - a))
             flat = np.concatenate([i[:n][::-1] for i, n in zip(ids, count)])
-            self._add(part, weight / lat.total[lat.size, rows], count, flat)
-        if len(plain) < len(new):
-            for u in set(new).difference(plain):
-                segs, p = _ranked(self.model, u)
-                self._add([u], p[:1], np.array([len(segs[0])]), np.array(segs[0]))
+            self._add(plain[a:b], lat.log_best[lat.size, np.arange(b - a)], count, flat)
+        spelled = [[self.model.byte_ids[x] for x in u.encode()] for u in new if not self.model.single.issuperset(u)]
+        if spelled:
+            self._add([u for u in new if not self.model.single.issuperset(u)], np.zeros(len(spelled)), np.array(list(map(len, spelled))), np.concatenate(spelled))
 
-    def _add(self, units: list[str], p: np.ndarray, count: np.ndarray, flat: np.ndarray) -> None:
+    def _add(self, units: list[str], log_p: np.ndarray, count: np.ndarray, flat: np.ndarray) -> None:
         k, n = len(self.text), len(units)
         while k + n > len(self.log_p):
-            for name in ("log_p", "rest", "size", "off"):
+            for name in ("log_p", "chars", "rest", "size", "off"):
                 setattr(self, name, np.concatenate([getattr(self, name)] * 2))
         while self.used + len(flat) > len(self.pool):
             self.pool = np.concatenate([self.pool, self.pool])
-        p = np.minimum(p, 1.0)
-        self.log_p[k : k + n] = np.log(p)
-        self.rest[k : k + n] = np.where(p < 1 - 1e-12, np.log1p(-np.minimum(p, 1 - 1e-13)), -np.inf)
+        log_p = np.minimum(log_p, 0.0)
+        self.log_p[k : k + n] = log_p
+        self.chars[k : k + n] = list(map(len, units))
+        self.rest[k : k + n] = np.where(log_p < -1e-12, np.log(-np.expm1(np.minimum(log_p, -1e-13))), -np.inf)
         self.size[k : k + n] = count
         self.off[k : k + n] = self.used + np.cumsum(count) - count
         self.pool[self.used : self.used + len(flat)] = flat
@@ -246,7 +304,7 @@ class Units(dict):
 
 @functools.lru_cache(maxsize=512)
 def _ranked(model: Model, unit: str) -> tuple[list[tuple[int, ...]], np.ndarray]:
-    """All segmentations of a unit, at most 2 ** (LONGEST - 1), best first, and their probabilities."""
+    """All segmentations of a short unit, best first, and their probabilities: what lattices are tested against."""
     ends = model.edges(unit)
     made: list[list] = [[((), 1.0)]] + [[] for _ in unit]
     for j in range(1, len(unit) + 1):
@@ -256,38 +314,27 @@ def _ranked(model: Model, unit: str) -> tuple[list[tuple[int, ...]], np.ndarray]
     return [ids for ids, _ in every], p / p.sum()
 
 
-def _other(model: Model, unit: str, not_these: set[tuple[int, ...]], u: float) -> tuple[tuple[int, ...], float, float]:
-    """A segmentation that isn't one of these, by inversion; its log probability, and that of all but it and them."""
-    segs, p = _ranked(model, unit)
-    free = np.array([s not in not_these for s in segs])
-    cum = np.cumsum(np.where(free, p, 0.0))
-    at = min(int(np.searchsorted(cum, u * cum[-1], side="right")), len(segs) - 1)
-    while not free[at]:
-        at -= 1
-    rest = float(cum[-1] - p[at]) if free.sum() > 1 else 0.0
-    return segs[at], math.log(p[at]), math.log(rest) if rest > 0 else -math.inf
-
-
-def _but_best(model: Model, kinds: np.ndarray, draws: np.ndarray) -> list[tuple[tuple[int, ...], float]]:
-    """For each unit index a segmentation other than the unit's best one, and its log probability."""
+def _but(model: Model, kinds: np.ndarray, draws: np.ndarray, ruled: list | None = None) -> list[tuple[tuple[int, ...], float]]:
+    """For each unit index a segmentation other than those ruled out, by default the unit's best one, and its log probability.
+    There are as many draws for each as the unit has code points."""
     units = model.units
     every, row = np.unique(kinds, return_inverse=True)
+    order = np.argsort(units.chars[every], kind="stable")
+    every, row = every[order], np.argsort(order, kind="stable")[row]
+    size = units.chars[kinds]
+    at = np.cumsum(size) - size
     out: list = [None] * len(kinds)
-    plain = np.array([model.single.issuperset(units.text[k]) for k in every.tolist()], bool)
-    for e in np.flatnonzero(~plain[row]).tolist():
-        k = int(kinds[e])
-        out[e] = _other(model, units.text[k], {units.best(k)}, float(draws[e, 0]))[:2]
-    place = np.cumsum(plain) - 1
-    names = [units.text[k] for k in every[plain].tolist()]
-    todo = np.flatnonzero(plain[row])
-    for a in range(0, len(names), 8192):
-        lat = Lattices(model, names[a : a + 8192])
-        mine = todo[(place[row[todo]] >= a) & (place[row[todo]] < a + 8192)]
-        at = place[row[mine]] - a
-        ids, count, weight = lat.walk(at, draws[mine])
-        log_p = np.log(weight / lat.total[lat.size[at], at]).tolist()
-        for e, i, n, lp in zip(mine.tolist(), ids.tolist(), count.tolist(), log_p):
-            out[e] = (tuple(i[n - 1 :: -1]) if n else (), lp)
+    for a, b in _chunks(units.chars[every]):
+        lat = Lattices(model, [units.text[k] for k in every[a:b].tolist()])
+        mine = np.flatnonzero((row >= a) & (row < b))
+        on, paths = np.ones(len(mine), bool), []
+        for e, i in enumerate(mine.tolist() if ruled else ()):
+            best = units.best(int(kinds[i]))
+            on[e] = best in ruled[i]
+            paths += [(e, model.chars[list(ids)]) for ids in ruled[i] if ids != best]
+        ids, count, log_p = lat.paths(row[mine] - a, draws, at[mine], on, paths)
+        for e, i, n, lp in zip(mine.tolist(), ids, count.tolist(), log_p.tolist()):
+            out[e] = (tuple(i[:n][::-1].tolist()), lp)
     return out
 
 
@@ -326,15 +373,15 @@ class Search:
         noise = -np.log(self.rng.random(len(rest)) + 1e-300)
         return -np.logaddexp(-s.value, np.log(noise) - (before[start:] + rest))
 
-    def next(self) -> tuple[Sample, int, set, float] | None:
-        """The best open node: its sample, unit, what is ruled out there, and its bound; what is left of it goes back."""
+    def next(self) -> tuple[Sample, int, dict, float] | None:
+        """The best open node: its sample, unit, what is ruled out there with log probabilities, and its bound; what is left of it goes back."""
         if not self.heap:
             return None
         bound, _, s, i, ruled_out, bounds, start = heapq.heappop(self.heap)
         if ruled_out is None:  # one of a sample's vector of nodes: the next of them takes its place
             bounds[i - start] = -math.inf
             self.offer(s, bounds, start)
-            ruled_out = {s.changed[i][0] if i in s.changed else self.model.units.best(int(self.t[i]))}
+            ruled_out = dict([s.changed[i] if i in s.changed else (self.model.units.best(int(self.t[i])), float(s.log_p[i]))])
         return s, i, ruled_out, -bound
 
     def begin(self, head: Sample | None, start: int, at: tuple | None, value: float) -> tuple[Sample, np.ndarray]:
@@ -355,8 +402,8 @@ class Search:
 def _finish(model: Model, begun: list[tuple[Search, Sample, np.ndarray, int]]) -> None:
     """Draws the units that differ from the best for all samples at once, and opens their nodes."""
     kinds = [x.t[e] for x, _, e, _ in begun]
-    draws = [x.rng.random((len(e), LONGEST)) for x, _, e, _ in begun]
-    found = iter(_but_best(model, np.concatenate(kinds), np.concatenate(draws)) if sum(map(len, kinds)) else ())
+    draws = [x.rng.random(int(model.units.chars[t].sum())) for (x, *_), t in zip(begun, kinds)]
+    found = iter(_but(model, np.concatenate(kinds), np.concatenate(draws)) if sum(map(len, kinds)) else ())
     for x, s, events, start in begun:
         for i in events.tolist():
             s.changed[i] = c = next(found)
@@ -371,30 +418,24 @@ def top_k(model: Model, texts: list[str], k: int, rngs: list[np.random.Generator
     units = model.units
     if len(units) > CACHE:
         units.reset()
-    cut = [_UNITS.findall(" " + x) for x in texts]
+    cut = [model.cut(x) for x in texts]
     units.learn(set().union(*cut))
     searches = [Search(model, np.fromiter(map(units.__getitem__, c), np.int64, len(c)), r) for c, r in zip(cut, rngs)]
     begun = [(x, *x.begin(None, 0, None, -math.log(-math.log(x.rng.random() + 1e-300))), 0) for x in searches]
     _finish(model, begun)
     for _ in range(1, k):
         nodes = [(x, n) for x in searches if (n := x.next()) is not None]
-        # most nodes rule out just the unit's best segmentation: these are drawn together
-        easy = [(x, n) for x, n in nodes if len(n[2]) == 1 and n[1] not in n[0].changed]
-        drawn = iter(_but_best(model, np.array([x.t[n[1]] for x, n in easy], np.int64), np.stack([x.rng.random(LONGEST) for x, _ in easy])) if easy else ())
+        kinds = np.array([x.t[n[1]] for x, n in nodes], np.int64)
+        drawn = _but(model, kinds, np.concatenate([x.rng.random(int(units.chars[x.t[n[1]]])) for x, n in nodes]), [n[2] for _, n in nodes]) if nodes else []
         begun = []
-        for x, (s, i, ruled_out, bound) in nodes:
-            unit = int(x.t[i])
-            if len(ruled_out) == 1 and i not in s.changed:
-                ids, lp = next(drawn)
-                rest = 1 - math.exp(units.log_p[unit]) - math.exp(lp)
-                found = (ids, lp, math.log(rest) if rest > 1e-12 else -math.inf)
-            else:
-                found = _other(model, units.text[unit], ruled_out, x.rng.random())
+        for (x, (s, i, ruled_out, bound)), (ids, lp) in zip(nodes, drawn):
+            rest = 1 - sum(map(math.exp, ruled_out.values())) - math.exp(lp)
+            found = (ids, lp, math.log(rest) if rest > 1e-12 else -math.inf)
             begun.append((x, *x.begin(s, i + 1, found, bound), i + 1))
             if found[2] > -math.inf:  # what else is left at this unit
                 mass = float(s.log_p[:i].sum()) + found[2]
                 left = -float(np.logaddexp(-bound, math.log(-math.log(x.rng.random() + 1e-300)) - mass))
-                heapq.heappush(x.heap, (-left, x.order, s, i, ruled_out | {found[0]}, None, 0))
+                heapq.heappush(x.heap, (-left, x.order, s, i, ruled_out | {ids: lp}, None, 0))
                 x.order += 1
         if begun:
             _finish(model, begun)

@@ -286,6 +286,48 @@ def test_lattices_against_single_edges(model):
         assert tuple(ids[i][: count[i]][::-1].tolist()) in [s for s, x in zip(segs, p) if x == pytest.approx(p[0])]
 
 
+def whole_lattice(model, text):
+    """The log sum of the weights of all segmentations, over the whole text without units."""
+    ends = model.edges(" " + text)
+    total = [0.0] + [-math.inf] * (len(ends) - 1)
+    for j in range(1, len(ends)):
+        total[j] = float(np.logaddexp.reduce([total[a] + math.log(w) for a, _, w in ends[j] if j - a <= 16]))
+    return total[-1]
+
+
+def test_units_against_the_whole_lattice(model):
+    texts = ["more information on a particular experience", "a  run    of spaces                   and misinformation\n\n  x", "administration|transformation=====================x", "z" * 40 + "\u2581 \u0bf5 \U0001f600ab", "internationalization of representatives", "ab" * 400]
+    byte, weight = set(model.byte_ids), dict(model.pieces.values())
+    longest = 0
+    for t in texts:
+        whole = whole_lattice(model, t)
+        for x in pieces.top_k(model, [t] * 40, 4, [pieces.generator(3, i, t) for i in range(10)]):
+            assert len({tuple(pieces.ids_of(model, x.t, s).tolist()) for s in x.out}) == 4
+            for s in x.out:
+                ids = pieces.ids_of(model, x.t, s)
+                log_w = sum(math.log(model.byte_weight if i in byte else weight[i]) for i in ids.tolist())
+                assert model.decode(ids) == t
+                assert float(s.log_p.sum()) == pytest.approx(log_w - whole, rel=1e-7, abs=1e-7)
+                longest = max(longest, int(model.chars[ids][~np.isin(ids, model.byte_ids)].max()))
+    assert longest > 10
+
+
+def test_samples_of_a_long_word_follow_the_lattice(model):
+    text, n = "information", 3000
+    every, p = pieces._ranked(model, " " + text)
+    first, second = collections.Counter(), collections.Counter()
+    for x in pieces.top_k(model, [text] * n, 3, [pieces.generator(7, i, text) for i in range(n)]):
+        keys = [tuple(pieces.ids_of(model, x.t, s).tolist()) for s in x.out]
+        assert len(set(keys)) == 3
+        first[keys[0]] += 1
+        second[keys[1]] += 1
+    assert len(every[0]) == 1
+    want = {k: q * sum(o / (1 - o) for i, o in zip(every, p) if i != k) for k, q in zip(every[:3], p)}
+    for k, q in zip(every[:3], p):
+        assert first[k] / n == pytest.approx(q, abs=4 * math.sqrt(q / n))
+        assert second[k] / n == pytest.approx(want[k], abs=0.04)
+
+
 def test_pieces_of_odd_rows(spark):
     d = odd(spark)
     got = pieces.encode(d, 3, alpha=1.0).toPandas()
