@@ -446,6 +446,21 @@ def test_lines_against_brute_force(spark):
     assert have == want
 
 
+def test_lines_of_rows_that_share_an_id_or_have_none(spark):
+    common = "a common line of seven words here"
+    shared = [*WORDS[:12], "only", "here"]
+    texts = [
+        (1, common), (1, "this unique line stays under its id"), (None, common + "\nfirst of the lines without any id"), (None, "second of lines that have no id\n" + common),
+        (None, "third one\n" + " ".join(shared)), (None, "fourth one\n\n" + " ".join(shared[:-1])), (None, "fifth one\n" + " ".join(WORDS[50:60])), (7, "eins zwei drei vier fünf sechs"), (7, "one\n" + common),
+    ]
+    got = lines.dedup(docs(spark, [(i, t, "a") for i, t in texts])).select("doc_id", "text", "n_removed").collect()
+    want = [
+        (1, common, 0), (1, "this unique line stays under its id", 0), (None, "first of the lines without any id", 1), (None, "second of lines that have no id", 1),
+        (None, "third one\n" + " ".join(shared), 0), (None, "fourth one\n", 1), (None, "fifth one\n" + " ".join(WORDS[50:60]), 0), (7, "eins zwei drei vier fünf sechs", 0), (7, "one", 1),
+    ]
+    assert collections.Counter(map(tuple, got)) == collections.Counter(want)
+
+
 def test_lines_of_odd_rows(spark):
     assert lines.dedup(odd(spark)).count() == 11
     assert lines.dedup(empty(spark)).count() == 0
