@@ -25,8 +25,8 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that match an earlier line go; every document stays, if only with an empty text."""
-    out = lines.dedup(docs).withColumn("n_chars", F.coalesce(F.length("text"), F.lit(0)).cast("long"))
+    """Lines that match an earlier line go, however short; every document stays, if only with an empty text."""
+    out = lines.dedup(docs, least=1).withColumn("n_chars", F.coalesce(F.length("text"), F.lit(0)).cast("long"))
     return out.select(*docs.columns)
 
 

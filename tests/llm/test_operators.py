@@ -446,6 +446,14 @@ def test_lines_against_brute_force(spark):
     assert have == want
 
 
+def test_pipeline_drops_short_lines(spark):
+    import corpus_pipeline as cp
+
+    texts = ["All rights reserved.\n\none", " reserved. rights All\n\n \nb c d e", "buy now buy now buy now\nb c d e f", "buy now buy now\n\nTwo", None, ""]
+    got = cp.dedup_lines(spark, docs(spark, [(i, t, "a") for i, t in enumerate(texts)]), "").select("doc_id", "text").collect()
+    assert sorted(map(tuple, got)) == [(0, texts[0]), (1, "\n \nb c d e"), (2, "buy now buy now buy now"), (3, "\nTwo"), (4, None), (5, "")]
+
+
 def test_lines_of_rows_that_share_an_id_or_have_none(spark):
     common = "a common line of seven words here"
     shared = [*WORDS[:12], "only", "here"]
