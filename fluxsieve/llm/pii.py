@@ -5,8 +5,8 @@ of the segment and of its neighbourhood, and a dynamic program over segments of
 boundaries and types jointly; it adds spans the rules miss (spelled-out addresses, local phone numbers,
 national identity numbers) and never removes or overlaps a base span.
 
-Candidate segments start and end at tokens, hold a digit or an "at" sign or word, and stay within a
-line; everything else can only be outside, so the program runs on the neighbourhoods of such tokens,
+Candidate segments start and end at tokens, hold a digit or an "at" sign or word in any case, and stay
+within a line; everything else can only be outside, so the program runs on the neighbourhoods of such tokens,
 which is exact. The weights are learnt here by gradient ascent on the likelihood of a small generated
 corpus (no person's data), once a process; scanning is one pass without a shuffle.
 
@@ -76,9 +76,14 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     return [(a, b, KINDS[k]) for a, b, k in found]
 
 
-#: A neighbourhood for the field: a run of digits and the marks that numbers are written with, or an address in words.
+#: A neighbourhood for the field: a run of digits and the marks that numbers are written with, or what is around an "at".
 _RUN = re.compile(r"[+(]?[0-9][0-9+().\x20-]*[0-9]")
-_WORDS = re.compile(r"[A-Za-z0-9._%+-]+\x20?(?:@|\(at\)|\[at\]|\x20at)\x20?[A-Za-z0-9-]+(?:\x20?(?:\.|\(dot\)|\[dot\]|\x20dot)\x20?[A-Za-z0-9-]+)+")
+_AT = re.compile(r"(?ai)(?:@|[(\[]\x20?at\x20?[)\]]|(?<=\x20)at(?=\x20))\x20*")
+_LABEL = re.compile(r"[A-Za-z0-9-]+")
+_DOT = re.compile(r"(?ai)\x20*(?:\.|[(\[]\x20?dot\x20?[)\]])\x20*|\x20+dot\x20+")
+#: Words that stand before "at" in prose, and last labels that are common.
+_PROSE = frozenset("look looks looked looking meet meets met arrive arrived stay stayed stop stopped see sold start started us them it is are was were be here there not only work works worked laugh aim point stare shop sit read find found open hosted available end begin him her me you and or".split())
+_LAST = frozenset("com org net edu gov info io biz eu de fr es it uk us ch nl co test example invalid".split())
 _TOKEN = re.compile(r"[0-9]+|[A-Za-z]+|.", re.DOTALL)
 #: Tokens in a segment, at most; a card of single spaced digits has 37.
 LONGEST = 40
@@ -88,6 +93,7 @@ _CUES = {
 }
 _CUE_OF = {w: k for k, ws in _CUES.items() for w in ws}
 _TYPES = ("ip", "card", "phone", "phone_local", "ssn")
+_ALL = (*_TYPES, "email_words")
 
 
 def _cue(text: str, start: int) -> str:
@@ -126,13 +132,56 @@ def _allowed(span: str, n: int, kind: str) -> bool:
     return span[0] != "+" and n == 10
 
 
-def _lattice(text: str, start: int, end: int) -> tuple[list[int], list[tuple[int, int, str, list[str]]]]:
+Address = tuple[list[int], tuple[int, int], list[tuple[int, str]]]
+
+
+def _addresses(text: str, taken: list[tuple[int, int]]) -> Iterator[Address]:
+    """For each "at" outside the base spans, if a dot follows: places where an address can start, where the sign stands, and
+    places where the address can end, with the dots up to there."""
+    if "@" not in text and "at" not in text.lower():
+        return
+    for m in _AT.finditer(text):
+        low = max((y for x, y in taken if x < m.end()), default=0)
+        high = min((x for x, _ in taken if x >= m.end()), default=len(text))
+        left = m.start()
+        while left > low and text[left - 1] == " ":
+            left -= 1
+        a = left
+        while a > low and text[a - 1] in _LOCAL:
+            a -= 1
+        starts = [a + t.start() for t in _TOKEN.finditer(text[a:left]) if t[0].isalnum()][-LONGEST:]
+        ends: list[tuple[int, str]] = []
+        dots, label = "", _LABEL.match(text, m.end(), high)
+        while label and len(ends) < LONGEST and (dot := _DOT.match(text, label.end(), high)) and (label := _LABEL.match(text, dot.end(), high)):
+            mark = dot[0].lower().strip()
+            dots += "." if dot[0] == "." else "s" if mark == "." else "w" if mark == "dot" else "b"
+            ends.append((label.end(), dots))
+        if starts and ends:
+            yield starts, (left, m.end()), ends
+
+
+def _address_features(text: str, start: int, sign: tuple[int, int], end: int, dots: str) -> list[str]:
+    """Of a whole segment as an address in words."""
+    mark = text[sign[0] : sign[1]].lower()
+    style = "word" if mark.strip() == "at" else "sign" if "@" in mark else "bracket"
+    last = re.split(r"[^A-Za-z0-9-]", text[sign[1] : end])[-1]
+    how = "known" if last.lower() in _LAST else "short" if last.isalpha() and len(last) <= 4 else "other"
+    kinds = "".join(sorted(set(dots)))
+    out = ["email_words:bias", f"email_words:at={style}", f"email_words:dots={kinds}", f"email_words:at={style}:dots={kinds}:last={how}", f"email_words:last={how}:{'s' in dots and last[:1].isupper()}"]
+    out.append(f"email_words:prose={style == 'word' and text[start : sign[0]].lower() in _PROSE}")
+    out.append(f"email_words:cut={start > 0 and text[start - 1] in _LOCAL}")
+    out.append(f"email_words:more={bool((d := _DOT.match(text, end)) and (x := _LABEL.match(text, d.end())) and x[0].lower() in _LAST)}")
+    out.append(f"email_words:cue={_cue(text, start)}")
+    return out
+
+
+def _lattice(text: str, start: int, end: int, addresses: list[Address]) -> tuple[list[int], list[tuple[int, int, str, list[str]]]]:
     """Token bounds of a neighbourhood and its segments (from, to, type or "", features)."""
     tokens = [(m.start() + start, m.end() + start) for m in _TOKEN.finditer(text[start:end])]
     bounds = [a for a, _ in tokens] + [end]
     segs: list[tuple[int, int, str, list[str]]] = []
     for i, (a, b) in enumerate(tokens):
-        segs.append((i, i + 1, "", ["out:digits" if text[a].isdigit() else "out:mark"]))
+        segs.append((i, i + 1, "", ["out:digits" if text[a].isdigit() else "out:word" if text[a].isalpha() else "out:mark"]))
         if text[a] in "0123456789+(":
             n = 0
             for j in range(i, min(i + LONGEST, len(tokens))):
@@ -143,6 +192,12 @@ def _lattice(text: str, start: int, end: int) -> tuple[list[int], list[tuple[int
                         break
                     span = text[a:d]
                     segs += [(i, j + 1, k, _features(text, a, d, k)) for k in _TYPES if _allowed(span, n, k)]
+    at = {p: i for i, p in enumerate(bounds)}
+    for starts, sign, ends in addresses:
+        for b, dots in ends:
+            for a in starts:
+                if a in at and b in at and at[b] - at[a] <= LONGEST:
+                    segs.append((at[a], at[b], "email_words", _address_features(text, a, sign, b, dots)))
     return bounds, segs
 
 
@@ -199,21 +254,39 @@ def generated(n: int, seed: int) -> list[tuple[str, list[tuple[int, int, str]]]]
         sep = r.choice(("", "", " ", "-"))
         return sep.join(d[i : i + 4] for i in range(0, len(d), 4))
 
+    def name() -> str:
+        return "".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(r.randint(2, 9)))
+
+    def address() -> str:
+        """In words, or with a sign that the rule for plain addresses misses."""
+        style = r.randrange(5)
+        at, dot = (r.choice((" at ", " AT ")), r.choice((" dot ", " DOT ", ".")), ) if style < 2 else (r.choice((" (at) ", "(at)", " (AT) ", "[at]", " [at] ")), r.choice((" (dot) ", "(dot)", " [dot] ", " dot ", ".")))
+        if style == 4:
+            at, dot = r.choice(((" @ ", "."), ("@ ", "."), ("@", " dot "), ("@", "(dot)"), (" @ ", " dot ")))
+        return r.choice((name(), name(), f"{name()}.{name()}", f"{name()}{num(2)}")) + at + dot.join([name() for _ in range(r.choice((1, 1, 2)))] + [r.choice(sorted(_LAST))])
+
+    def prose() -> str:
+        """What has an "at" and a dot but is no address."""
+        verb = r.choice((r.choice(sorted(_PROSE)), name()))
+        return r.choice((f"{verb} at {name()}. {name().title()} {name()}", f"{verb} at {name()}. {name().title()}", f"{verb} at {name()} dot {name()}", f"{r.choice(sorted(_PROSE))} at {name()}.{r.choice(sorted(_LAST))}", f"{verb} at {name()}.{name()}ing", f"{verb} at {name()}. {name()} it"))
+
     make = {
         "ip": lambda: ".".join(str(r.randint(0, 255)) for _ in range(4)), "card": card,
         "phone": lambda: "+" + r.choice((f"1 ({num(3)}) {num(3)}-{num(4)}", f"{r.randint(20, 99)} {num(3)} {num(4)}", f"{r.randint(20, 99)}-{num(2)}-{num(4)}-{num(3)}", f"{r.randint(20, 99)}{num(9)}")),
         "phone_local": lambda: r.choice((f"({num(3)}) {num(3)}-{num(4)}", f"{num(3)}-{num(3)}-{num(4)}", f"{num(3)}.{num(3)}.{num(4)}")),
-        "ssn": lambda: f"{num(3)}-{num(2)}-{num(4)}",
+        "ssn": lambda: f"{num(3)}-{num(2)}-{num(4)}", "email_words": lambda: address(),
     }
-    plain = (lambda: num(r.randint(1, 9)), lambda: f"{r.randint(1900, 2099)}-{r.randint(1, 12):02}-{r.randint(1, 28):02}", lambda: ".".join(str(r.randint(0, 20)) for _ in range(r.randint(2, 3))), lambda: num(r.randint(10, 22)), lambda: f"{r.randint(1, 999)}.{num(2)}", lambda: f"{r.randint(300, 999)}.{num(1)}.{num(3)}.{num(2)}", lambda: " ".join(num(r.randint(1, 4)) for _ in range(r.randint(4, 9))))
+    plain = (lambda: num(r.randint(1, 9)), lambda: f"{r.randint(1900, 2099)}-{r.randint(1, 12):02}-{r.randint(1, 28):02}", lambda: ".".join(str(r.randint(0, 20)) for _ in range(r.randint(2, 3))), lambda: num(r.randint(10, 22)), lambda: f"{r.randint(1, 999)}.{num(2)}", lambda: f"{r.randint(300, 999)}.{num(1)}.{num(3)}.{num(2)}", lambda: " ".join(num(r.randint(1, 4)) for _ in range(r.randint(4, 9))), prose, prose, prose)
     words = ["for", "the", "note", "was", "of", "number", "order", "in", *(x for ws in _CUES.values() for x in ws)]
     out = []
     for _ in range(n):
         text, spans = r.choice(words) + " ", []
         for _ in range(r.randint(1, 3)):
-            kind = r.choice(("", "", *_TYPES))
+            kind = r.choice(("", "", "", *_ALL))
             piece = make[kind]() if kind else r.choice(plain)()
-            if kind and r.random() < 0.4:
+            if kind == "email_words" and text[-2].isalnum() and r.random() < 0.5:
+                text = text[:-1] + ": "
+            elif kind and r.random() < 0.4:
                 text += r.choice(_CUES.get(kind.split("_")[0], ("note",))) + " "
             if kind:
                 spans.append((len(text), len(text) + len(piece), kind))
@@ -222,8 +295,10 @@ def generated(n: int, seed: int) -> list[tuple[str, list[tuple[int, int, str]]]]
     return out
 
 
-def _windows(text: str, free_from: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
+def _numbers(text: str, free_from: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
     """Number runs with 7 digits or more, without the base spans."""
+    if not _DIGITS.search(text):
+        return
     for m in _RUN.finditer(text):
         a, end = m.span()
         for b, c in (*[x for x in free_from if x[0] < end and x[1] > a], (end, end)):
@@ -232,13 +307,28 @@ def _windows(text: str, free_from: list[tuple[int, int]]) -> Iterator[tuple[int,
             a = max(a, c)
 
 
+def _windows(text: str, free_from: list[tuple[int, int]]) -> Iterator[tuple[int, int, list[Address]]]:
+    """Neighbourhoods with the addresses in them; what overlaps is one."""
+    parts = [(a, b, []) for a, b in _numbers(text, free_from)]
+    parts += [(x[0][0], x[2][-1][0], [x]) for x in _addresses(text, free_from)]
+    parts.sort(key=lambda x: x[:2])
+    at = 0
+    while at < len(parts):
+        a, b, found = parts[at]
+        at += 1
+        while at < len(parts) and parts[at][0] < b:
+            b, found = max(b, parts[at][1]), found + parts[at][2]
+            at += 1
+        yield a, b, found
+
+
 @functools.cache
 def weights(lines: int = 400, rounds: int = 25, seed: int = 5) -> dict[str, float]:
     """Learnt by gradient steps on the likelihood, with a Gaussian prior. Deterministic."""
     cases = []
     for text, spans in generated(lines, seed):
-        for a, b in _windows(text, []):
-            bounds, segs = _lattice(text, a, b)
+        for a, b, addresses in _windows(text, []):
+            bounds, segs = _lattice(text, a, b, addresses)
             at = {p: i for i, p in enumerate(bounds)}
             inside = [(at[x], at[y], k) for x, y, k in spans if x in at and y in at and a <= x and y <= b]
             covered = {i for i, j, _ in inside for i in range(i, j)}
@@ -261,14 +351,9 @@ def weights(lines: int = 400, rounds: int = 25, seed: int = 5) -> dict[str, floa
 def added_spans(text: str, base: list[tuple[int, int, str]], w: dict[str, float]) -> list[tuple[int, int, str]]:
     """What the field finds beside the base spans."""
     out = []
-    if _DIGITS.search(text):
-        for a, b in _windows(text, sorted({(x, y) for x, y, _ in base})):
-            bounds, segs = _lattice(text, a, b)
-            out += [(bounds[i], bounds[j], kind) for i, j, kind in _best(len(bounds) - 1, segs, w) if kind]
-    if "dot" in text or "(at)" in text or "[at]" in text:
-        for m in _WORDS.finditer(text):
-            if not _DOMAIN.search(m[0].partition("@")[2]) and ("dot" in m[0] and m[0].rpartition(" ")[2].strip("])").isalpha() or "(at)" in m[0] or "[at]" in m[0]):
-                out.append((m.start(), m.end(), "email_words"))
+    for a, b, addresses in _windows(text, sorted({(x, y) for x, y, _ in base})):
+        bounds, segs = _lattice(text, a, b, addresses)
+        out += [(bounds[i], bounds[j], kind) for i, j, kind in _best(len(bounds) - 1, segs, w) if kind]
     return [x for x in out if not any(x[0] < b and x[1] > a for a, b, _ in base)]
 
 

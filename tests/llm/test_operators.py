@@ -387,6 +387,15 @@ def test_field_finds_what_rules_merge(spark):
     assert pii.find(empty(spark)).count() == 0
 
 
+def test_field_decides_on_addresses_in_words():
+    w = pii.weights()
+    for t in ["jane at example.com", "jane AT example DOT com", "jane (AT) example (DOT) com", "jane [at] example [dot] org", "jane.doe @ example.com", "jane@example dot com"]:
+        assert pii.spans(f"note: {t} today", w)[1] == [(6, 6 + len(t), "email_words")], t
+    for t in ["They look at anecdotes. Then they go.", "We met at noon. Dotted lines follow.", "It is sold at shops. Ask there", "they look at example.com for it", "at the dot"]:
+        assert pii.spans(t, w)[1] == [] and pii.redact(t) == t, t
+    assert pii.redact("mail x@y.org or joe at example dot com. Thanks") == "mail [EMAIL] or [EMAIL_WORDS]. Thanks"
+
+
 # secrets
 
 
