@@ -85,7 +85,8 @@ def block_quotas(targets: DataFrame, block: int = BLOCK, shards: int = 1) -> Dat
 
 def mix(docs: DataFrame, share: float = 1.5, most: float = 2.0, weights: tuple = WEIGHTS, block: int = BLOCK, seed: int = SEED, shards: int = 1, carry: bool = False) -> DataFrame:
     """docs(doc_id, text, source, ...) -> doc_id, size, source_size, target, taken, quota (blocks of its
-    source), start (its place on the source's line), and with carry all columns of docs, as `row`. Order keys hash seed, doc_id and text: reruns agree,
+    source), start (its place on the source's line), shard, and with carry all columns of docs, as `row`. With several shards a
+    document has a row for each that takes of it, in order of the blocks of the arc, or one without a shard. Order keys hash seed, doc_id and text: reruns agree,
     and rows that tie are copies of one another."""
     more = [F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")] if carry else []
     base = docs.select(
@@ -95,8 +96,9 @@ def mix(docs: DataFrame, share: float = 1.5, most: float = 2.0, weights: tuple =
     slim = cut(base.drop("row"))
     base = base if carry else slim
     targets = source_targets(slim.select("source", "size"), share, most, weights)
-    quotas = block_quotas(targets, block, shards).groupBy(F.col("source").alias("of")).agg(F.sum("quota").alias("quota"))
-    plan = targets.join(quotas, F.col("source").eqNullSafe(F.col("of"))).select("of", "source_size", "target", "quota")
+    dealt = F.array_sort(F.collect_list(F.struct("shard", "first", (F.col("first") + F.col("quota")).alias("upto")))).alias("dealt")
+    quotas = block_quotas(targets, block, shards).groupBy(F.col("source").alias("of")).agg(F.sum("quota").alias("quota"), *([dealt] if shards > 1 else []))
+    plan = targets.join(quotas, F.col("source").eqNullSafe(F.col("of"))).select("of", "source_size", "target", *quotas.columns[1:])
 
     slices = max(SLICES, slim.count() // ROWS)
     place = F.floor(F.conv(F.substring("order", 1, 8), 16, 10).cast("double") * slices / float(1 << 32))
@@ -114,29 +116,43 @@ def mix(docs: DataFrame, share: float = 1.5, most: float = 2.0, weights: tuple =
     rows = rows.withColumn("blocks", F.ceil(F.col("source_size") / block))
     rows = rows.withColumn("quota", F.least("quota", F.floor(F.lit(float(most)) * F.col("blocks"))))
     at_least_1 = F.greatest("blocks", F.lit(1).cast("long"))
-    rows = rows.withColumn("rounds", F.floor(F.col("quota") / at_least_1)).withColumn("extra", F.col("quota") % at_least_1)
     draw = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}#"), F.coalesce("source", F.lit("")))), 1, 8), 16, 10).cast("long")
-    rows = rows.withColumn("from", F.pmod(draw, at_least_1)).withColumn("to", F.col("from") + F.col("extra"))
+    rows = rows.withColumn("from", F.pmod(draw, at_least_1))
 
     def overlap(first: Column, last: Column) -> Column:
         return F.greatest(F.least("end", last * block) - F.greatest("start", first * block), F.lit(0).cast("long"))
 
-    arc = overlap(F.col("from"), F.least("to", "blocks")) + overlap(F.lit(0).cast("long"), F.greatest(F.col("to") - F.col("blocks"), F.lit(0).cast("long")))
-    taken = F.col("size") * F.col("rounds") + arc
-    return rows.select("doc_id", "size", "source_size", "target", taken.cast("long").alias("taken"), "quota", "start", *(["row"] if carry else []))
+    def words(place: Column, number: Column) -> Column:
+        """What `number` blocks from a place on, round and round, have of the document."""
+        to = place + number % at_least_1
+        arc = overlap(place, F.least(to, F.col("blocks"))) + overlap(F.lit(0).cast("long"), F.greatest(to - F.col("blocks"), F.lit(0).cast("long")))
+        return (F.col("size") * F.floor(number / at_least_1) + arc).cast("long")
+
+    def part(x: Column) -> Column:
+        first, upto = F.least(x["first"], "quota"), F.least(x["upto"], "quota")
+        return F.struct(x["shard"].cast("int").alias("shard"), words(F.pmod(F.col("from") + first, at_least_1), upto - first).alias("taken"))
+
+    if shards > 1:
+        rows = rows.withColumn("parts", F.filter(F.transform("dealt", part), lambda x: x["taken"] > 0))
+        rows = rows.withColumn("part", F.explode_outer("parts"))
+        shard, taken = F.col("part.shard"), F.coalesce("part.taken", F.lit(0).cast("long"))
+    else:
+        shard, taken = F.lit(0), words(F.col("from"), F.col("quota"))
+    return rows.select("doc_id", "size", "source_size", "target", taken.alias("taken"), "quota", "start", shard.alias("shard"), *(["row"] if carry else []))
 
 
 def mixed(docs: DataFrame, **options: float) -> DataFrame:
     """The mix itself, with the columns of docs: a document comes as often as it is taken whole, and once more, cut to its
-    first words, for what is taken of it beyond that."""
+    first words, for what is taken of it beyond that; with several shards in each of them, which is added as `shard`."""
     rows = mix(docs, carry=True, **options)
     whole = F.when(F.col("size") > 0, F.floor(F.col("taken") / F.greatest("size", F.lit(1).cast("long")))).otherwise(F.lit(0)).cast("int")
     rows = rows.withColumn("whole", whole).withColumn("part", (F.col("taken") - F.col("whole") * F.col("size")).cast("int"))
     first = F.array_join(F.slice(F.regexp_extract_all(F.col("row.text"), F.lit(f"[^{SPACE}]+"), F.lit(0)), F.lit(1), F.col("part")), " ")
     texts = F.concat(F.when(F.col("whole") > 0, F.array_repeat(F.col("row.text"), F.col("whole"))).otherwise(F.array().cast("array<string>")), F.when(F.col("part") > 0, F.array(first)).otherwise(F.array().cast("array<string>")))
-    out = rows.select("row", F.explode(texts).alias("taken_text"))
+    out = rows.select("row", "shard", F.explode(texts).alias("taken_text"))
     keep = {"text": F.col("taken_text"), "n_chars": F.length("taken_text").cast("long")}
-    return out.select(*[keep.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
+    more = ["shard"] if options.get("shards", 1) > 1 else []
+    return out.select(*[keep.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns], *more)
 
 
 #: The same figures in plain SQL: quotas by ranking every quotient, places by one running sum a source.

@@ -201,6 +201,21 @@ def test_mix(spark):
     assert (out.n_chars == out.text.str.len()).all()
 
 
+def test_mix_deals_blocks_to_shards(spark):
+    d = docs(spark, [(i, " ".join(WORDS[: 1 + i * 13 % 90]), "abc"[i % 3]) for i in range(300)])
+    whole, got = mixing.mix(d).toPandas(), mixing.mix(d, shards=4).toPandas()
+    assert set(got["shard"].dropna()) == {0, 1, 2, 3}
+    one = mixing.block_quotas(mixing.source_targets(mixing.mix(d).join(d.select("doc_id", "source"), "doc_id").select("source", "size")), shards=4).toPandas()
+    assert got.groupby("doc_id").taken.sum().to_dict() == whole.groupby("doc_id").taken.sum().to_dict()
+    got["source"] = got.doc_id.map(lambda i: "abc"[i % 3])
+    by = got.groupby(["source", "shard"]).taken.sum()
+    for r in one.itertuples():
+        assert abs(by[r.source, r.shard] - r.quota * mixing.BLOCK) <= 2 * mixing.BLOCK
+    out = mixing.mixed(d, shards=4).toPandas()
+    assert list(out.columns) == [*d.columns, "shard"]
+    assert out.text.str.split().str.len().groupby(out["shard"]).sum().to_dict() == got.groupby("shard").taken.sum().to_dict()
+
+
 def test_mix_of_odd_rows(spark):
     got = mixing.mix(odd(spark)).toPandas()
     assert len(got) == 11 and (got.taken[got["size"] == 0] == 0).all()
