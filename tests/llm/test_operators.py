@@ -49,6 +49,36 @@ def test_shards(spark):
     assert set(got.text_crc32) == {zlib.crc32(t.encode()) for _, t, _ in rows}
 
 
+def test_shards_keep_groups_whole(spark):
+    """At either level, and at any size of the table; only a group that no shard can hold is cut."""
+    r = np.random.default_rng(6)
+    texts = [" ".join(r.choice(WORDS, int(r.integers(1, 60)))) for _ in range(500)]
+    rows = [(i, texts[i // 4], "a") for i in range(2000)] + [(5000 + i, "a third of all rows", "b") for i in range(1000)]
+    for large in (sharding.LARGE, 300):
+        got = sharding.shard(docs(spark, rows), 10, large=large).toPandas()
+        kinds = got.groupby("group").shard.nunique()
+        assert len(got) == 3000 and (kinds > 1).sum() == 1 and kinds.max() == 10
+        by = got.groupby("shard").agg(size=("size", "sum"), tokens=("tokens", "sum"), n=("slot", "size"))
+        assert ((by.max() - by.min()) / by.mean()).max() < 0.05
+
+
+def test_packing_against_brute_force():
+    """Each item goes where the dot product with what is left is highest; ties to the first shard."""
+    r = np.random.default_rng(8)
+    items = np.round(r.random((40, 3)), 1) / 20
+    left = [[0.25] * 3 for _ in range(4)]
+    want = [0] * 40
+    for i in sorted(range(40), key=lambda i: (-items[i].sum(), i)):
+        want[i] = max(range(4), key=lambda b: (round(sum(x * y for x, y in zip(items[i], left[b])), 12), -b))
+        left[want[i]] = [x - y for x, y in zip(left[want[i]], items[i])]
+    residual = np.full((4, 3), 0.25)
+    got = sharding.pack(items, residual)
+    assert np.allclose(residual, left) and got.tolist() == want
+    before = (residual**2).sum()
+    to = sharding.repair(items, got, residual)
+    assert (residual**2).sum() <= before and np.allclose(residual, 0.25 - np.stack([items[to == b].sum(axis=0) for b in range(4)]))
+
+
 def test_shards_of_odd_rows(spark):
     got = sharding.shard(odd(spark), 4).toPandas()
     assert len(got) == 11 and got["size"].min() == 16
@@ -127,6 +157,28 @@ def test_cover_trees_against_brute_force(spark, block):
     assert got == brute_links(rows, 0.93)
 
 
+def test_cover_trees_of_repeated_rows_and_null_ids(spark):
+    a, b, c = [1.0, 0.0, 0.1], [1.0, 0.01, 0.1], [0.0, 1.0, 0.0]
+    rows = [(5, 1, a, 0), (5, 1, a, 0), (6, 1, b, 0), (None, 1, a, 0), (7, 1, c, 0), (7, 2, a, 0), (None, 3, c, 0), (None, 3, c, 0), (8, None, a, 0), (9, 2, a, 0)]
+    df = spark.createDataFrame(rows, "vec_id long, label int, embedding array<double>, cls int").selectExpr("*", "1 as node", "2 as root", "3 as times")
+    got = sorted((tuple(r) for r in covertree.near_duplicates(df).collect()), key=str)
+    want = [(5, 2, 5, True), (6, 2, 5, False), (None, 2, 5, False), (7, 0, 7, True), (7, 1, 7, True), (9, 1, 7, False), (None, 0, None, True), (8, 0, 8, True)]
+    assert got == sorted(want, key=str)
+
+
+def test_cover_tree_blocks_are_pruned(spark):
+    """One label of 1600 clustered vectors in blocks of 25: few block pairs are tried, and no link is lost."""
+    r = np.random.default_rng(12)
+    centres = covertree.units(r.standard_normal((40, 16)))
+    rows = [(i, 0, (centres[i % 40] + 0.02 * r.standard_normal(16)).tolist()) for i in range(1600)]
+    df = spark.createDataFrame(rows, "vec_id long, label int, embedding array<double>")
+    points = covertree._valid(df.withColumn("node", F.col("vec_id"))).selectExpr("node as cls", "1L as times", "label", "dim", "vec", "xxhash64(vec) as h1", "0L as h2")
+    trees = covertree.make_trees(points, 25)
+    n = trees.count()
+    assert n >= 40 and covertree.block_pairs(trees, 0.93).count() < 0.1 * n * n
+    assert {x.vec_id: (x.n_links, x.component_id) for x in covertree.near_duplicates(df, 0.93, 25).collect()} == brute_links(rows, 0.93)
+
+
 def test_cover_trees_of_no_rows(spark):
     assert covertree.near_duplicates(spark.createDataFrame([], "vec_id long, label int, embedding array<float>")).count() == 0
 
@@ -438,11 +490,11 @@ def test_secrets(spark):
 # lines
 
 
-def brute_lines(rows, least=5):
-    """rows of (doc_id, text): the (doc_id, line number) that go."""
-    all_ = [(math.inf if i is None else i, k, frozenset(x for x in re.split(r"[\x20\x09-\x0D]+", line.strip(" \t\x0b\f\r")))) for i, t in rows if t is not None for k, line in enumerate(t.split("\n"))]
-    all_ = [x for x in all_ if len(x[2]) >= least]
-    return {x[:2] for x in all_ for y in all_ if y[:2] < x[:2] and 5 * len(x[2] & y[2]) >= 4 * len(x[2] | y[2])}
+def brute_lines(rows):
+    """rows of (doc_id, text): the (row number, line number) that go."""
+    all_ = [((math.inf if i is None else i, k), r, frozenset(x for x in re.split(r"[\x20\x09-\x0D]+", line.strip(" \t\x0b\f\r")) if x)) for r, (i, t) in enumerate(rows) if t is not None for k, line in enumerate(t.split("\n"))]
+    all_ = [x for x in all_ if x[2]]
+    return {(x[1], x[0][1]) for x in all_ for y in all_ if y[0] < x[0] and 5 * len(x[2] & y[2]) >= 4 * len(x[2] | y[2])}
 
 
 def test_lines_against_brute_force(spark):
@@ -463,9 +515,8 @@ def test_lines_against_brute_force(spark):
     got = lines.dedup(d).toPandas()
     assert list(got.columns) == [*d.columns, "n_removed"]
     want = collections.Counter()
-    for i, t in rows:
-        key = math.inf if i is None else i
-        want[i, None if t is None else "\n".join(x for k, x in enumerate(t.split("\n")) if (key, k) not in gone)] += 1
+    for n, (i, t) in enumerate(rows):
+        want[i, None if t is None else "\n".join(x for k, x in enumerate(t.split("\n")) if (n, k) not in gone)] += 1
     have = collections.Counter((None if np.isnan(i) else int(i), t if isinstance(t, str) else None) for i, t in zip(got.doc_id.astype(float), got.text))
     assert have == want
 
@@ -493,6 +544,31 @@ def test_lines_of_rows_that_share_an_id_or_have_none(spark):
     assert collections.Counter(map(tuple, got)) == collections.Counter(want)
 
 
+def test_near_copies_of_lines_in_large_groups(spark):
+    """Groups whose originals come anywhere, with edits at random places: pairs thinned by the earliest relatives lose nothing."""
+    r = np.random.default_rng(4)
+    rows = []
+    for i in range(400):
+        ws = [f"g{i % 3}.{j}" for j in range(40)]
+        for _ in range(int(r.integers(0, 8))):
+            ws[int(r.integers(0, 40))] = f"e{int(r.integers(0, 400))}"
+        rows.append((i, " ".join(ws[: int(r.integers(33, 41))])))
+    got = lines.dedup(docs(spark, [(i, t, "a") for i, t in rows])).where("n_removed > 0").select("doc_id").collect()
+    assert {x.doc_id for x in got} == {rows[k][0] for k, _ in brute_lines(rows)}
+
+
+def test_lines_keep_columns_of_any_name(spark):
+    d = docs(spark, [(1, "a b c", "s"), (2, "c b a\nnew", "s")]).selectExpr("doc_id", "text", "1 as gone", "2 as of", "3 as of_row", "4 as ls", "5 as `all`", "6 as n_removed")
+    got = lines.dedup(d).orderBy("doc_id")
+    assert got.columns == d.columns and list(map(tuple, got.collect())) == [(1, "a b c", 1, 2, 3, 4, 5, 0), (2, "new", 1, 2, 3, 4, 5, 1)]
+
+
+def test_lines_of_a_very_long_text(spark):
+    text = "\n".join(f"w{i % 7000} only here x{i % 7000}" for i in range(14000)) + "\n" + " ".join(f"v{i}" for i in range(70000))
+    got = lines.dedup(docs(spark, [(1, text, "a"), (2, text, "a")])).orderBy("doc_id").collect()
+    assert [x.n_removed for x in got] == [7000, 14001] and got[1].text == "" and got[0].text.count("\n") == 7000
+
+
 def test_lines_of_odd_rows(spark):
     assert lines.dedup(odd(spark)).count() == 11
     assert lines.dedup(empty(spark)).count() == 0
