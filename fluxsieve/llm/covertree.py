@@ -9,14 +9,20 @@ distance to its farthest descendant. The dual traversal takes pairs of nodes: ce
 radii and the threshold rule all their pairs out; centres so near that even the farthest points link make
 all their pairs links, which are counted, not listed; the children of all other pairs are compared in one product.
 
-Scale: the vectors of a label are cut into blocks of bounded size (by the signs of fixed projections, so that
-alike ones meet, and by hash where a cell is still too large). A block is a tree; block pairs that the root
-radii don't rule out are tasks of their own. A task returns, for each vector, its number of links and one edge
-of a spanning forest, so that a group of n copies costs n rows, not n * n. Nothing is collected.
-
-Defined results: null labels, null vectors and vectors that are zero or hold nulls or non-finite values link with
-nothing; vectors of different length neither; ties at the threshold link; repeated rows are vectors of their own
-(with their vec_id's figures if they share one); an empty table gives no rows.
+Scale: vectors with equal entries and label are one point with a multiplicity, combined before the shuffle. A label with more than BLOCK
+points is cut into cells by the nearest of some of them (drawn by hash, PIVOTS in all labels together: the centres of an upper level), and a
+cell that is still too large by hash. A cell is a tree with its exact root radius; cells whose centres are further apart
+than both radii and the threshold are never paired. The other pairs are dealt in tiles of TILE by TILE cells, so that a
+cell is copied once a tile. A tile returns, for each point, its number of links and one edge of a spanning forest, so that a group of
+n near copies costs n rows, not n * n. Nothing is collected but the pivots.
+How many cell pairs are ruled out is up to the data: clustered vectors are pruned well, while no ball bound can rule
+out anything among vectors without clusters in many dimensions, where the threshold spans the whole spread of distances; there
+the work is that of blocked matrix products.
+
+Defined results: a row for each vector, which is a distinct (vec_id, label, entries): repeated rows are one. Null labels, null vectors and
+vectors that are zero or hold nulls or non-finite values link with nothing; vectors of different length neither; ties at the threshold link. A null
+vec_id is no name for a component: component_id is null only if all of its vec_ids are. kept is true where vec_id
+and component_id are equal, or both null. An empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -34,10 +40,13 @@ from .common import cut
 from .components import components
 
 COSINE = 0.93
-#: Vectors of a block, about; twice as many at most, nearly always.
-BLOCK = 1024
+#: Points of a block, about.
+BLOCK = 2048
 LEAF = 16
-BITS = 16
+#: Pivots of all labels together, at most.
+PIVOTS = 4096
+#: Cells on a side of a tile.
+TILE = 8
 #: Slack of the bounds: square roots of rounded differences are off by so much near 0.
 SLACK = 1e-7
 #: Products within this of the threshold are computed again in plain order.
@@ -73,7 +82,6 @@ class Tree:
                     # the centre itself comes first in its slice
                     members = np.concatenate([[net], left[inside & (left != net)]])
                     order[lo : lo + len(members)] = members
-                    order[lo : lo + len(members)] = members
                     start.append(lo)
                     end.append(lo + len(members))
                     centre.append(int(net))
@@ -111,11 +119,13 @@ class Tree:
 
 
 class Links:
-    """Link counts and a spanning forest over the points of one tree, or of two (the second's after the first's)."""
+    """Link counts and a spanning forest over the points of one tree, or of two (the second's after the first's). A link
+    counts as often as the point at its other end."""
 
-    def __init__(self, n: int):
-        self.count = np.zeros(n, np.int64)
-        self.parent = np.arange(n)
+    def __init__(self, times: np.ndarray):
+        self.times = times
+        self.count = np.zeros(len(times), np.int64)
+        self.parent = np.arange(len(times))
         self.edges: list[tuple[int, int]] = []
 
     def root(self, x: int) -> int:
@@ -134,9 +144,9 @@ class Links:
     def all_pairs(self, a: np.ndarray, b: np.ndarray) -> None:
         """Every point of a links with every other point of b; a and b are the same points or have none in common."""
         same = a is b
-        self.count[a] += len(b) - same
+        self.count[a] += self.times[b].sum() - (self.times[a] if same else 0)
         if not same:
-            self.count[b] += len(a)
+            self.count[b] += self.times[a].sum()
         for q in b[same:]:
             self.union(int(a[0]), int(q))
         if not same:
@@ -172,8 +182,8 @@ def dual(a: Tree, b: Tree, cosine: float, links: Links, shift: int) -> None:
                 ok = np.triu(ok, 1)
             for x, y in np.argwhere(ok):
                 p, q = int(pa_[x]), int(pb_[y]) + shift
-                links.count[p] += 1
-                links.count[q] += 1
+                links.count[p] += links.times[q]
+                links.count[q] += links.times[p]
                 links.union(p, q)
             continue
         # a leaf stands for itself; the larger node of a pair is always opened, here both are
@@ -195,30 +205,26 @@ def dual(a: Tree, b: Tree, cosine: float, links: Links, shift: int) -> None:
             open_ += [(int(rows[x]), int(kb[y])) for x, y in np.argwhere(near & ~every)]
 
 
-_VALID = pa.schema([("vec_id", pa.int64()), ("label", pa.int64()), ("dim", pa.int32()), ("sign", pa.int32()), ("vec", pa.binary())])
+_VALID = pa.schema([("node", pa.int64()), ("label", pa.int64()), ("dim", pa.int32()), ("vec", pa.binary())])
 
 
-def _valid(rows: DataFrame) -> DataFrame:
-    """The vectors that can link, as doubles, with the signs of BITS fixed projections as a number."""
+def _valid(vectors: DataFrame) -> DataFrame:
+    """The vectors that can link, as doubles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        planes: dict[int, np.ndarray] = {}
         for batch in batches:
             out: dict[str, list] = {f.name: [] for f in _VALID}
-            for vec_id, label, v in zip(batch["vec_id"].to_pylist(), batch["label"].to_pylist(), batch["embedding"]):
+            for node, label, v in zip(batch["node"].to_pylist(), batch["label"].to_pylist(), batch["embedding"]):
                 if label is None or not v.is_valid or v.values.null_count or not len(v.values):
                     continue
                 x = v.values.to_numpy(zero_copy_only=False).astype(float)
                 if not np.isfinite(x).all() or not x.any():
                     continue
-                if len(x) not in planes:
-                    planes[len(x)] = np.random.default_rng(len(x)).standard_normal((BITS, len(x)))
-                sign = int(((planes[len(x)] @ x) > 0) @ (1 << np.arange(BITS)))
-                for k, one in zip(out, (vec_id, label, len(x), sign, x.tobytes())):
+                for k, one in zip(out, (node, label, len(x), x.tobytes())):
                     out[k].append(one)
             yield pa.RecordBatch.from_pydict(out, schema=_VALID)
 
-    return rows.select("vec_id", F.col("label").cast("long").alias("label"), "embedding").mapInArrow(run, "vec_id long, label long, dim int, sign int, vec binary")
+    return vectors.select("node", F.col("label").cast("long").alias("label"), "embedding").mapInArrow(run, "node long, label long, dim int, vec binary")
 
 
 def units(raw: np.ndarray) -> np.ndarray:
@@ -227,66 +233,147 @@ def units(raw: np.ndarray) -> np.ndarray:
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
-def _blocks(valid: DataFrame, block: int) -> DataFrame:
-    """valid plus block, a number that is unique over all labels: cells of sign prefixes, cut by hash where large."""
-    per = valid.groupBy("label", "dim").agg(F.least(F.lit(BITS), F.ceil(F.log2(F.greatest(F.count(F.lit(1)) / block, F.lit(1.0))))).cast("int").alias("bits"))
-    cells = valid.join(per, ["label", "dim"]).withColumn("cell", F.floor(F.col("sign") / F.pow(F.lit(2.0), F.lit(BITS) - F.col("bits"))).cast("int"))
+def _pivots(points: DataFrame, block: int) -> dict[tuple[int, int], np.ndarray]:
+    """(label, dim) -> unit vectors, for labels of more than a block: a share of PIVOTS by size, each as far as can be from those
+    before it, out of four times as many, the least by hash."""
+    per = points.groupBy("label", "dim").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > block)
+    total = per.agg(F.sum("n").alias("n")).first()["n"]
+    if not total:
+        return {}
+    wanted = per.select("label", "dim", "n", F.least(F.ceil(F.col("n") / block), F.floor(F.col("n") * PIVOTS / total)).alias("k")).where("k > 1")
+    draw = F.pmod(F.xxhash64(F.lit(5), "h1", "h2"), F.lit(1 << 40)) / float(1 << 40)
+    drawn = points.join(wanted, ["label", "dim"]).where(draw <= (4 * F.col("k") + 8 * F.sqrt("k")) / F.col("n"))
+    got: dict[tuple[int, int], list] = {}
+    size = {}
+    for r in drawn.select("label", "dim", "k", draw.alias("draw"), "vec").orderBy("label", "dim", "draw", "vec").toLocalIterator():
+        own = got.setdefault((r["label"], r["dim"]), [])
+        size[r["label"], r["dim"]] = r["k"]
+        if len(own) < 4 * r["k"]:
+            own.append(np.frombuffer(r["vec"], float))
+    return {k: _spread(units(np.stack(v)), size[k]) for k, v in got.items()}
+
+
+def _spread(unit: np.ndarray, k: int) -> np.ndarray:
+    """k of the vectors, farthest first."""
+    chosen, nearest = [0], unit @ unit[0]
+    while len(chosen) < min(k, len(unit)):
+        chosen.append(int(nearest.argmin()))
+        nearest = np.maximum(nearest, unit @ unit[chosen[-1]])
+    return unit[chosen]
+
+
+def _cells(points: DataFrame, block: int) -> DataFrame:
+    """points plus cell and cut, which with label and dim name a block."""
+    pivots = _pivots(points, block)
+    if not pivots:
+        return points.withColumn("cell", F.lit(0)).withColumn("cut", F.lit(0))
+    shared = points.sparkSession.sparkContext.broadcast(pivots)
+
+    def nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of = shared.value
+        for batch in batches:
+            kinds = pd.DataFrame({"label": batch["label"].to_numpy(), "dim": batch["dim"].to_numpy()})
+            cell = np.zeros(batch.num_rows, np.int32)
+            for key, at in kinds.groupby(["label", "dim"]).indices.items():
+                if key in of:
+                    unit = units(np.frombuffer(b"".join(batch["vec"].take(pa.array(at)).to_pylist()), float).reshape(len(at), -1))
+                    cell[at] = (unit @ of[key].T).argmax(axis=1)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cell)], [*batch.schema.names, "cell"])
+
+    kinds = ", ".join(f"{n} {t}" for n, t in points.dtypes)
+    cells = points.mapInArrow(nearest, kinds + ", cell int")
     sizes = cells.groupBy("label", "dim", "cell").agg(F.ceil(F.count(F.lit(1)) / block).alias("cuts"))
-    cells = cells.join(sizes, ["label", "dim", "cell"])
-    return cells.select("vec_id", "label", "dim", "vec", "cell", F.pmod(F.xxhash64("vec_id", "vec"), F.col("cuts")).cast("int").alias("cut"))
+    return cells.join(sizes, ["label", "dim", "cell"]).withColumn("cut", F.pmod(F.xxhash64("h1", "h2"), F.col("cuts")).cast("int")).drop("cuts")
+
+
+def block_pairs(trees: DataFrame, cosine: float) -> DataFrame:
+    """trees(id, label, dim, radius, centre) -> the pairs (id_a, id_b) that may hold links, a block and itself included."""
+    slim = trees.select("id", "label", "dim", "radius", "centre")
+    a, b = (slim.select("label", "dim", *[F.col(c).alias(f"{c}_{s}") for c in ("id", "radius", "centre")]) for s in "ab")
+    dot = F.aggregate(F.zip_with("centre_a", "centre_b", lambda x, y: x * y), F.lit(0.0), lambda x, y: x + y)
+    apart = F.sqrt(F.greatest(F.lit(0.0), F.lit(2.0) - 2 * dot))
+    pairs = a.join(b, ["label", "dim"]).where("id_a <= id_b")
+    return pairs.where(apart <= F.col("radius_a") + F.col("radius_b") + float(np.sqrt(2 - 2 * cosine)) + SLACK).select("label", "id_a", "id_b")
 
 
-def near_links(rows: DataFrame, cosine: float = COSINE, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
-    """rows(vec_id, label, embedding) -> (vec_id, links) sums still to be added up, and forest edges (a, b)."""
+def make_trees(points: DataFrame, block: int) -> DataFrame:
+    """points(cls, times, label, dim, vec, h1, h2) -> a row for each block, with its tree."""
 
     def build(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         label, dim, cell, part = key
-        group = group.sort_values("vec_id", kind="stable")
-        raw = np.frombuffer(b"".join(group["vec"]), float).reshape(-1, dim)
-        unit = units(raw)
+        group = group.sort_values("cls", kind="stable")
+        unit = units(np.frombuffer(b"".join(group["vec"]), float).reshape(-1, dim))
         tree = Tree(unit)
         return pd.DataFrame({
-            "label": [label], "dim": [dim], "cell": [cell], "cut": [part], "n": [len(unit)], "radius": [tree.radius[0]], "centre": [unit[tree.centre[0]].tolist()],
-            "ids": [group["vec_id"].to_numpy(np.int64).tobytes()], "vecs": [unit.tobytes()], "tree": [tree.save()],
+            "label": [label], "dim": [dim], "cell": [cell], "cut": [part], "radius": [tree.radius[0]], "centre": [unit[tree.centre[0]].tolist()],
+            "ids": [group["cls"].to_numpy(np.int64).tobytes()], "times": [group["times"].to_numpy(np.int64).tobytes()], "vecs": [unit.tobytes()], "tree": [tree.save()],
         })
 
-    trees = _blocks(cut(_valid(rows)), block).groupBy("label", "dim", "cell", "cut").applyInPandas(
-        build, "label long, dim int, cell int, cut int, n int, radius double, centre array<double>, ids binary, vecs binary, tree binary"
+    trees = _cells(points, block).groupBy("label", "dim", "cell", "cut").applyInPandas(
+        build, "label long, dim int, cell int, cut int, radius double, centre array<double>, ids binary, times binary, vecs binary, tree binary"
     )
-    trees = cut(trees.withColumn("id", F.xxhash64("label", "dim", "cell", "cut")))
-    slim = trees.select("id", "label", "dim", "cell", "cut", "radius", "centre")
-    a, b = (slim.select("label", "dim", *[F.col(c).alias(f"{c}_{s}") for c in ("id", "cell", "cut", "radius", "centre")]) for s in "ab")
-    dot = F.aggregate(F.zip_with("centre_a", "centre_b", lambda x, y: x * y), F.lit(0.0), lambda x, y: x + y)
-    apart = F.sqrt(F.greatest(F.lit(0.0), F.lit(2.0) - 2 * dot))
-    pairs = a.join(b, ["label", "dim"]).where(F.struct("cell_a", "cut_a") <= F.struct("cell_b", "cut_b"))
-    pairs = pairs.where(apart <= F.col("radius_a") + F.col("radius_b") + float(np.sqrt(2 - 2 * cosine)) + SLACK)
-    sides = pairs.select(F.xxhash64("id_a", "id_b").alias("pair"), F.col("id_a").alias("first"), F.explode(F.array_distinct(F.array("id_a", "id_b"))).alias("id"))
-
-    def traverse(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values("is_first", ascending=False, kind="stable")
-        ids = [np.frombuffer(x, np.int64) for x in group["ids"]]
-        made = [Tree.load(np.frombuffer(v, float).reshape(-1, d), t) for v, d, t in zip(group["vecs"], group["dim"], group["tree"])]
-        links = Links(sum(map(len, ids)))
-        dual(made[0], made[-1], cosine, links, len(ids[0]) if len(made) == 2 else 0)
-        every = np.concatenate(ids)
-        some = np.flatnonzero(links.count)
-        edges = np.array(links.edges, np.int64).reshape(-1, 2)
-        return pd.DataFrame({
-            "vec_id": np.concatenate([every[some], every[edges[:, 0]]]), "links": np.concatenate([links.count[some], np.zeros(len(edges), np.int64)]),
-            "other": pd.array([None] * len(some) + every[edges[:, 1]].tolist(), dtype="Int64"),
-        })
-
-    held = trees.select("id", "dim", "ids", "vecs", "tree")
-    sides = sides.join(held, "id").select("pair", (F.col("id") == F.col("first")).alias("is_first"), "dim", "ids", "vecs", "tree")
-    found = cut(sides.groupBy("pair").applyInPandas(traverse, "vec_id long, links long, other long"))
-    return found.where("other is null").select("vec_id", "links"), found.where("other is not null").select(F.col("vec_id").alias("a"), F.col("other").alias("b"))
+    return cut(trees.withColumn("id", F.xxhash64("label", "dim", "cell", "cut")))
+
+
+def near_links(points: DataFrame, cosine: float = COSINE, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
+    """points(cls, times, label, dim, vec, h1, h2) -> (cls, links) sums still to be added up, and forest edges (a, b)."""
+    trees = make_trees(points, block)
+    tile = [F.pmod(F.xxhash64(F.lit(9), f"id_{s}"), F.col("tiles")) for s in "ab"]
+    tiles = trees.groupBy("label").agg(F.ceil(F.count(F.lit(1)) / TILE).alias("tiles"))
+    pairs = block_pairs(trees, cosine).join(tiles, "label")
+    pairs = cut(pairs.select(F.xxhash64("label", F.least(*tile), F.greatest(*tile)).alias("tile"), "id_a", "id_b"))
+    sides = pairs.select(F.col("tile").alias("in_tile"), F.explode(F.array("id_a", "id_b")).alias("id")).distinct()
+    sides = sides.join(trees.select("id", "dim", "ids", "times", "vecs", "tree"), "id").withColumnRenamed("tree", "saved")
+
+    def traverse(pairs: pd.DataFrame, blocks: pd.DataFrame) -> pd.DataFrame:
+        held = {}
+        for r in blocks.itertuples():
+            held[r.id] = (Tree.load(np.frombuffer(r.vecs, float).reshape(-1, r.dim), r.saved), np.frombuffer(r.ids, np.int64), np.frombuffer(r.times, np.int64))
+        out = []
+        for a, b in sorted(zip(pairs["id_a"].tolist(), pairs["id_b"].tolist())):
+            both = [held[a]] if a == b else [held[a], held[b]]
+            links = Links(np.concatenate([x[2] for x in both]))
+            dual(both[0][0], both[-1][0], cosine, links, len(both[0][1]) if a != b else 0)
+            every = np.concatenate([x[1] for x in both])
+            some = np.flatnonzero(links.count)
+            edges = np.array(links.edges, np.int64).reshape(-1, 2)
+            out.append(pd.DataFrame({"cls": every[some], "links": links.count[some], "other": pd.array([None] * len(some), dtype="Int64")}))
+            out.append(pd.DataFrame({"cls": every[edges[:, 0]], "links": np.zeros(len(edges), np.int64), "other": pd.array(every[edges[:, 1]], dtype="Int64")}))
+        return pd.concat(out) if out else pd.DataFrame({"cls": [], "links": [], "other": []})
+
+    found = cut(pairs.groupBy("tile").cogroup(sides.groupBy("in_tile")).applyInPandas(traverse, "cls long, links long, other long"))
+    return found.where("other is null").select("cls", "links"), found.where("other is not null").select(F.col("cls").alias("a"), F.col("other").alias("b"))
 
 
 def near_duplicates(rows: DataFrame, cosine: float = COSINE, block: int = BLOCK) -> DataFrame:
     """rows(vec_id, label, embedding, ...) -> vec_id, n_links, component_id (least vec_id reachable), kept."""
-    counts, edges = near_links(rows, cosine, block)
-    counts = counts.groupBy("vec_id").agg(F.sum("links").alias("n_links"))
-    roots = components(edges).withColumnRenamed("id", "vec_id")
-    out = rows.select("vec_id").join(counts, "vec_id", "left").join(roots, "vec_id", "left")
-    component = F.coalesce("root", "vec_id")
-    return out.select("vec_id", F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"), component.alias("component_id"), F.coalesce(component == F.col("vec_id"), F.lit(True)).alias("kept"))
+    # numbers are written with the rows, so that they stay what they are
+    vectors = cut(rows.select("vec_id", "label", "embedding").distinct().withColumn("node", F.monotonically_increasing_id()))
+    valid = cut(_valid(vectors).withColumns({"h1": F.xxhash64("vec"), "h2": F.xxhash64(F.lit(1), "vec")}))
+    key = ["label", "dim", "h1", "h2"]
+    points = cut(valid.groupBy(*key).agg(F.count(F.lit(1)).alias("times"), F.first("vec").alias("vec")).withColumn("cls", F.monotonically_increasing_id()))
+    counts, edges = near_links(points, cosine, block)
+    counts = counts.groupBy("cls").agg(F.sum("links").alias("links"))
+    roots = components(edges).withColumnRenamed("id", "cls")
+    known = points.select(*key, "cls", "times").join(counts, "cls", "left").join(roots, "cls", "left")
+    known = known.select(*key, (F.coalesce("links", F.lit(0).cast("long")) + F.col("times") - 1).alias("n_links"), F.coalesce("root", "cls").alias("root"))
+    nodes = valid.select("node", *key).join(known, key).select("node", "n_links", "root")
+    out = cut(vectors.select("vec_id", "node").join(nodes, "node", "left"))
+    least = out.where("root is not null").groupBy("root").agg(F.min("vec_id").alias("least"))
+    component = F.when(F.col("root").isNull(), F.col("vec_id")).otherwise(F.col("least"))
+    out = out.join(least, "root", "left").select("vec_id", F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"), component.alias("component_id"))
+    return out.withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
+
+
+#: The same by plain SQL: every pair of a label, then the least vec_id that links reach.
+ORACLE = f"""
+WITH RECURSIVE v AS (SELECT row_number() OVER () AS node, * FROM (SELECT DISTINCT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings)),
+g AS (SELECT * FROM v WHERE label IS NOT NULL AND len(e) > 0 AND len(list_filter(e, x -> x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(e, x -> x <> 0)) > 0),
+l AS (SELECT a.node AS a, b.node AS b FROM g a JOIN g b ON a.label = b.label AND len(a.e) = len(b.e) AND a.node <> b.node
+      WHERE list_dot_product(a.e, b.e) >= {COSINE} * sqrt(list_dot_product(a.e, a.e)) * sqrt(list_dot_product(b.e, b.e))),
+r AS (SELECT node AS a, node AS b FROM v UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a),
+c AS (SELECT r.a AS node, min(v.vec_id) AS component_id FROM r JOIN v ON v.node = r.b GROUP BY r.a),
+n AS (SELECT a AS node, count(*) AS n_links FROM l GROUP BY a)
+SELECT v.vec_id, CAST(coalesce(n.n_links, 0) AS BIGINT) AS n_links, c.component_id, v.vec_id IS NOT DISTINCT FROM c.component_id AS kept
+FROM v JOIN c USING (node) LEFT JOIN n USING (node)
+"""

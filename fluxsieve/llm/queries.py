@@ -79,4 +79,4 @@ QUERIES: dict[str, Query] = {
     "op10_ngram_join": op10_ngram_join,
 }
 
-ORACLES: dict[str, str] = {"op4_mixing": mixing.ORACLE, "op8_secrets": secrets.ORACLE, "op9_line_dedup": lines.ORACLE}
+ORACLES: dict[str, str] = {"op3_cover_tree": covertree.ORACLE, "op4_mixing": mixing.ORACLE, "op8_secrets": secrets.ORACLE, "op9_line_dedup": lines.ORACLE}
