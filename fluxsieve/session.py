@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import zipfile
 from pathlib import Path
@@ -24,6 +25,19 @@ def session(master: str | None = None, name: str = "fluxsieve", **conf: str) ->
     return (builder.master(master) if master else builder).getOrCreate()
 
 
+def shared_dir(spark: SparkSession) -> str:
+    """The folder all executors share: spark.checkpoint.dir. On one machine, and there only, one of our own where it is unset."""
+    sc = spark.sparkContext
+    named = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not named:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        named = "file://" + tempfile.mkdtemp(prefix="fluxsieve-")
+        sc.setCheckpointDir(named)
+        named = sc.getCheckpointDir()
+    return named.rstrip("/")
+
+
 def ship(spark: SparkSession) -> None:
     """Make this package importable on the Python workers, once an application."""
     sc = spark.sparkContext

@@ -78,6 +78,18 @@ def decode_packet(data: bytes, bases: tuple[int, int] = (0, 0), milliseconds: bo
     return out
 
 
+def only_signals(data: bytes, wanted: frozenset[int], milliseconds: bool = False, with_time: bool = True) -> bytes:
+    """The packet with the records of these runtime indexes only, as they are."""
+    (count,), at, out = struct.unpack_from(">I", data), 4, []
+    for _ in range(count):
+        compact, i = struct.unpack_from(">BI", data, at)
+        size = _HEAD.size + (0 if not with_time else 8 if not compact & BASE_TIME_OFFSET else 2 if milliseconds else 4)
+        if i in wanted:
+            out.append(data[at : at + size])
+        at += size
+    return struct.pack(">I", len(out)) + b"".join(out)
+
+
 MEASUREMENTS = "packet_id long, signal_index long, value double, ticks long, flags long"
 
 

@@ -8,6 +8,7 @@ Structured Streaming: checkpoints, and files per trigger.
 from __future__ import annotations
 
 import gzip
+import threading
 from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, Row, SparkSession
@@ -28,12 +29,14 @@ class Publisher:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder.rstrip("/")
         self.metadata: DataSet | None = None
+        self.version = 0
 
     def define_metadata(self, data: DataSet) -> DataFrame:
         """Takes the device, measurement and phasor tables, publishes them, and returns the active measurements."""
         self.metadata = data
         packed = bytearray(gzip.compress(write_xml(data).encode()))
-        self.spark.createDataFrame([(packed,)], "document binary").write.mode("overwrite").parquet(f"{self.folder}/metadata")
+        self.version += 1
+        self.spark.createDataFrame([(self.version, packed)], "version int, document binary").write.mode("overwrite").parquet(f"{self.folder}/metadata")
         return active(data)
 
     def filter_metadata(self, expression: str) -> DataFrame:
@@ -49,10 +52,52 @@ class Publisher:
         return df.writeStream.format("parquet").option("path", f"{self.folder}/measurements").option("checkpointLocation", checkpoint or f"{self.folder}/checkpoint").trigger(availableNow=True).start()
 
 
+class Busy:
+    """Runs a callback beside the caller, one call at a time: what comes while it runs is dropped and counted."""
+
+    def __init__(self, callback: Callable[[object], None]):
+        self.callback, self.dropped, self.done = callback, 0, 0
+        self.lock, self.thread = threading.Lock(), None
+
+    def offer(self, x: object) -> bool:
+        if not self.lock.acquire(blocking=False):
+            self.dropped += 1
+            return False
+
+        def run() -> None:
+            try:
+                self.callback(x)
+            finally:
+                self.done += 1
+                self.lock.release()
+
+        self.thread = threading.Thread(target=run, daemon=True)
+        self.thread.start()
+        return True
+
+    def wait(self) -> None:
+        if self.thread:
+            self.thread.join()
+
+
+def sent_totals(packets: DataFrame) -> DataFrame:
+    """packets(n, packet) -> measurements, packets and bytes in all."""
+    return packets.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("measurements"), F.count(F.lit(1)).alias("packets"), F.coalesce(F.sum(F.octet_length("packet")), F.lit(0)).cast("long").alias("bytes"))
+
+
 class Subscriber:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder.rstrip("/")
         self.total_received = 0
+        self.version: int | None = None
+
+    def configuration_changed(self, callback: Callable[[DataSet], None]) -> bool:
+        """Calls back with the metadata if they were published anew since the last look."""
+        version = self.spark.read.parquet(f"{self.folder}/metadata").first()["version"]
+        changed, self.version = version != self.version, version
+        if changed:
+            callback(self.request_metadata())
+        return changed
 
     def request_metadata(self) -> DataSet:
         document = self.spark.read.parquet(f"{self.folder}/metadata").first()["document"]

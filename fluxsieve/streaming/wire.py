@@ -1,34 +1,54 @@
 """Measurements over TCP: a packet server for publishing, and a Python data source for subscribing.
 
-The server keeps compact packets in order until they are released, and answers READ start count, END and RELEASE before. The
-source's offsets are packet numbers, so that a micro-batch can be read again after a failure, and packets are released once
-Spark has committed them. A connection is tried again with growing pauses.
+The server keeps compact packets as numbered files of a folder, so that the driver's memory doesn't grow, and answers a line of text:
+
+    SUBSCRIBE name [signal,...]   the consumer's first packet; only these signals are sent to it
+    FILTER name [signal,...]      the same for a batch, which holds no packets back
+    END                           the number after the last packet
+    READ name start count         the packets, or an error where one of them is gone
+    RELEASE name before           this consumer is done with the packets before
+    STATS                         packets, bytes and measurements sent
+
+A packet goes once every consumer has released it; a consumer that subscribes later starts at the first one kept. The
+source's offsets are packet numbers, so that a micro-batch can be read again after a failure, by any executor; packets are released once
+Spark has committed them. A connection that fails, at first or within a read, is tried again with growing pauses, and the read
+goes on after the last whole packet.
 """
 
 from __future__ import annotations
 
+import os
+import shutil
 import socket
 import socketserver
 import struct
+import tempfile
 import threading
 import time
+import uuid
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition, SimpleDataSourceStreamReader
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 from pyspark.sql.streaming import StreamingQuery
 
-from ..sources.codec import decode_packet, encode_packets
+from ..sources.codec import decode_packet, encode_packets, only_signals
 
 SCHEMA = "signal_index long, value double, ticks long, flags long"
+#: In place of a number of packets: one of them was released.
+GONE = 0xFFFFFFFF
 
 
 class PacketServer:
     """Use as a context; `address` is (host, port)."""
 
-    def __init__(self, host: str = "127.0.0.1", port: int = 0):
-        self.packets: list[bytes] = []
-        self.first = 0
+    def __init__(self, host: str = "127.0.0.1", port: int = 0, folder: str | None = None):
+        self.folder = folder or tempfile.mkdtemp(prefix="fluxsieve-packets-")
+        self.own = folder is None
+        self.first = self.end = 0
+        self.released: dict[str, int] = {}
+        self.wanted: dict[str, frozenset[int] | None] = {}
+        self.sent = {"packets": 0, "bytes": 0, "measurements": 0}
         self.lock = threading.Lock()
         outer = self
 
@@ -50,27 +70,67 @@ class PacketServer:
     def __exit__(self, *_: object) -> None:
         self.server.shutdown()
         self.server.server_close()
+        if self.own:
+            shutil.rmtree(self.folder, ignore_errors=True)
+
+    def _file(self, n: int) -> str:
+        return os.path.join(self.folder, f"{n:020d}")
 
     def append(self, packet: bytes) -> None:
         with self.lock:
-            self.packets.append(packet)
+            with open(self._file(self.end), "wb") as f:
+                f.write(packet)
+            self.end += 1
+
+    def _release(self) -> None:
+        least = min(self.released.values(), default=self.first)
+        while self.first < least:
+            os.remove(self._file(self.first))
+            self.first += 1
 
     def _answer(self, command: list[str], out: object) -> None:
+        verb, *rest = command or [""]
         with self.lock:
-            if command[0] == "END":
-                reply = struct.pack(">Q", self.first + len(self.packets))
-            elif command[0] == "RELEASE":
-                n = max(0, min(int(command[1]) - self.first, len(self.packets)))
-                del self.packets[:n]
-                self.first += n
+            if verb in ("SUBSCRIBE", "FILTER"):
+                self.wanted[rest[0]] = frozenset(map(int, rest[1].split(","))) if len(rest) > 1 else None
+                reply = struct.pack(">Q", self.released.setdefault(rest[0], self.first) if verb == "SUBSCRIBE" else self.first)
+            elif verb == "END":
+                reply = struct.pack(">Q", self.end)
+            elif verb == "RELEASE":
+                self.released[rest[0]] = max(self.released.get(rest[0], self.first), min(int(rest[1]), self.end))
+                self._release()
                 reply = struct.pack(">Q", self.first)
+            elif verb == "STATS":
+                reply = struct.pack(">QQQ", *self.sent.values())
+            elif verb == "READ":
+                reply = None
             else:
-                a = max(0, int(command[1]) - self.first)
-                some = self.packets[a : a + int(command[2])]
-                reply = struct.pack(">I", len(some)) + b"".join(struct.pack(">I", len(p)) + p for p in some)
-        out.write(reply)
+                reply = struct.pack(">Q", 0)
+        if reply is None:
+            self._send(rest[0], int(rest[1]), int(rest[2]), out)
+        else:
+            out.write(reply)
         out.flush()
 
+    def _send(self, name: str, start: int, count: int, out: object) -> None:
+        with self.lock:
+            stop = min(start + count, self.end)
+            gone = start < self.first
+            wanted = self.wanted.get(name)
+        if gone:
+            out.write(struct.pack(">I", GONE))
+            return
+        out.write(struct.pack(">I", max(0, stop - start)))
+        for n in range(start, stop):
+            with open(self._file(n), "rb") as f:
+                packet = f.read()
+            packet = packet if wanted is None else only_signals(packet, wanted)
+            out.write(struct.pack(">I", len(packet)) + packet)
+            with self.lock:
+                self.sent["packets"] += 1
+                self.sent["bytes"] += len(packet)
+                self.sent["measurements"] += struct.unpack_from(">I", packet)[0]
+
     def publish(self, df: DataFrame, size: int = 1000, checkpoint: str | None = None) -> StreamingQuery | None:
         """Executors encode, the driver holds one partition's packets at a time. A stream runs until its input is used up."""
 
@@ -84,6 +144,10 @@ class PacketServer:
         return df.writeStream.foreachBatch(lambda b, _: send(b)).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+class Released(ValueError):
+    """A packet that is asked for was released."""
+
+
 class Client:
     def __init__(self, host: str, port: int, tries: int = 5, pause: float = 0.2, longest: float = 5.0):
         for n in range(tries):
@@ -99,39 +163,66 @@ class Client:
     def ask(self, text: str, form: str) -> int:
         self.file.write(text.encode() + b"\n")
         self.file.flush()
-        return self.take(form)
+        return self.take(form)[0]
+
+    def take(self, form: str) -> tuple:
+        return struct.unpack(form, self._whole(struct.calcsize(form)))
 
-    def take(self, form: str) -> int:
-        return struct.unpack(form, self.file.read(struct.calcsize(form)))[0]
+    def _whole(self, n: int) -> bytes:
+        data = self.file.read(n)
+        if len(data) < n:
+            raise ConnectionError("the connection ended within a packet")
+        return data
 
-    def packets(self, start: int, count: int) -> Iterator[bytes]:
-        for _ in range(self.ask(f"READ {start} {count}", ">I")):
-            yield self.file.read(self.take(">I"))
+    def packets(self, name: str, start: int, count: int) -> Iterator[bytes]:
+        n = self.ask(f"READ {name} {start} {count}", ">I")
+        if n == GONE:
+            raise Released(f"packets from {start} on were released")
+        for _ in range(n):
+            yield self._whole(self.take(">I")[0])
 
     def close(self) -> None:
         self.file.close()
         self.socket.close()
 
 
-def _rows(options: dict, start: int, end: int) -> Iterator[tuple]:
+def _asked(options: dict, text: str) -> int:
     client = Client(options["host"], int(options["port"]))
     try:
-        for p in client.packets(start, end - start):
-            yield from decode_packet(p)
+        return client.ask(text, ">Q")
     finally:
         client.close()
 
 
-def _end(options: dict) -> int:
-    client = Client(options["host"], int(options["port"]))
-    try:
-        return client.ask("END", ">Q")
-    finally:
-        client.close()
+def _rows(options: dict, name: str, start: int, end: int, tries: int = 5, pause: float = 0.2, longest: float = 5.0) -> Iterator[tuple]:
+    """The measurements of the packets from start to end; a broken connection is opened anew, and any packet that comes whole
+    sets the tries back."""
+    failed = 0
+    while start < end:
+        client = None
+        try:
+            client = Client(options["host"], int(options["port"]))
+            for p in client.packets(name, start, end - start):
+                yield from decode_packet(p)
+                start, failed = start + 1, 0
+            return
+        except OSError:
+            failed += 1
+            if failed == tries:
+                raise
+            time.sleep(min(longest, pause * 2 ** (failed - 1)))
+        finally:
+            if client:
+                client.close()
+
+
+def _subscribed(options: dict, name: str, verb: str = "SUBSCRIBE") -> int:
+    return _asked(options, f"{verb} {name} {options.get('signals', '')}")
 
 
 class MeasurementSource(DataSource):
-    """spark.read / readStream.format("measurements").option("host", ...).option("port", ...), after registering the class."""
+    """spark.read / readStream.format("measurements") after registering the class. Options: host, port; signals, runtime
+    indexes with commas between, which the server filters by; consumer, a name that is kept over restarts of a stream; packets, how many a partition has."""
 
     @classmethod
     def name(cls) -> str:
@@ -143,43 +234,43 @@ class MeasurementSource(DataSource):
     def reader(self, schema: object) -> DataSourceReader:
         return MeasurementReader(dict(self.options))
 
-    def simpleStreamReader(self, schema: object) -> SimpleDataSourceStreamReader:  # noqa: N802
+    def streamReader(self, schema: object) -> DataSourceStreamReader:  # noqa: N802
         return MeasurementStream(dict(self.options))
 
 
 class MeasurementReader(DataSourceReader):
-    """All packets that the server holds, a partition for each `packets` of them (an option)."""
+    """All packets that the server holds, a partition for each `packets` of them."""
 
     def __init__(self, options: dict):
-        self.options = options
+        self.options, self.consumer = options, options.get("consumer", f"batch-{uuid.uuid4().hex}")
 
     def partitions(self) -> list[InputPartition]:
-        step, end = int(self.options.get("packets", 1000)), _end(self.options)
-        return [InputPartition((a, min(end, a + step))) for a in range(0, end, step)] or [InputPartition((0, 0))]
+        first = _subscribed(self.options, self.consumer, "FILTER")
+        step, end = int(self.options.get("packets", 1000)), _asked(self.options, "END")
+        return [InputPartition((a, min(end, a + step))) for a in range(first, end, step)] or [InputPartition((0, 0))]
 
     def read(self, partition: InputPartition) -> Iterator[tuple]:
-        return _rows(self.options, *partition.value)
+        yield from _rows(self.options, self.consumer, *partition.value)
 
 
-class MeasurementStream(SimpleDataSourceStreamReader):
-    """Offsets are packet numbers; a micro-batch takes `packets` of them at most (an option)."""
+class MeasurementStream(DataSourceStreamReader):
+    """Offsets are packet numbers; executors read a micro-batch in partitions of `packets` packets."""
 
     def __init__(self, options: dict):
-        self.options = options
+        self.options, self.consumer = options, options.get("consumer", f"stream-{uuid.uuid4().hex}")
 
     def initialOffset(self) -> dict:  # noqa: N802
-        return {"packet": 0}
+        return {"packet": _subscribed(self.options, self.consumer)}
 
-    def read(self, start: dict) -> tuple[Iterator[tuple], dict]:
-        end = min(_end(self.options), start["packet"] + int(self.options.get("packets", 1000)))
-        return iter(list(_rows(self.options, start["packet"], end))), {"packet": max(end, start["packet"])}
+    def latestOffset(self) -> dict:  # noqa: N802
+        return {"packet": _asked(self.options, "END")}
 
-    def readBetweenOffsets(self, start: dict, end: dict) -> Iterator[tuple]:  # noqa: N802
-        return _rows(self.options, start["packet"], end["packet"])
+    def partitions(self, start: dict, end: dict) -> list[InputPartition]:
+        step = int(self.options.get("packets", 1000))
+        return [InputPartition((a, min(end["packet"], a + step))) for a in range(start["packet"], end["packet"], step)]
+
+    def read(self, partition: InputPartition) -> Iterator[tuple]:
+        yield from _rows(self.options, self.consumer, *partition.value)
 
     def commit(self, end: dict) -> None:
-        client = Client(self.options["host"], int(self.options["port"]))
-        try:
-            client.ask(f"RELEASE {end['packet']}", ">Q")
-        finally:
-            client.close()
+        _asked(self.options, f"RELEASE {self.consumer} {end['packet']}")

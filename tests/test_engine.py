@@ -3,6 +3,7 @@ import uuid
 import pytest
 from pyspark.sql import functions as F
 
+from fluxsieve import format_queries as formats
 from fluxsieve.operators import statements as Q
 from fluxsieve.operators.dataset import RID, DataSet, IdFields, field
 from fluxsieve.plans.types import FilterError
@@ -10,7 +11,7 @@ from fluxsieve.queries import ORACLES, QUERIES
 from fluxsieve.sources import codec
 from fluxsieve.sources.xml_data import read_xml, scan_xml, write_table, write_xml
 from fluxsieve.streaming import measurements as S
-from fluxsieve.streaming.pubsub import Publisher, Subscriber
+from fluxsieve.streaming.pubsub import Busy, Publisher, Subscriber
 from tests.oracle import connect, same
 
 STAT, FREQ = "aaaaaaaa-0000-0000-0000-000000000001", "aaaaaaaa-0000-0000-0000-000000000002"
@@ -159,3 +160,35 @@ def test_ids_of_other_columns(spark):
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_oracle(spark, sf, name):
     same(QUERIES[name](spark, sf).toPandas(), connect(sf).sql(ORACLES[name]).df())
+
+
+@pytest.mark.parametrize("name", sorted(formats.QUERIES))
+def test_formats(spark, sf, name):
+    same(formats.QUERIES[name](spark, sf).toPandas(), connect(sf).sql(formats.ORACLES[name]).df())
+
+
+def test_busy_callbacks_drop_and_count():
+    import threading
+
+    hold, seen = threading.Event(), []
+    busy = Busy(lambda x: (hold.wait(10), seen.append(x)))
+    assert busy.offer(1) and not busy.offer(2) and not busy.offer(3)
+    hold.set()
+    busy.wait()
+    assert busy.offer(4)
+    busy.wait()
+    assert seen == [1, 4] and busy.dropped == 2 and busy.done == 2
+
+
+def test_configuration_changes(spark, tmp_path):
+    publisher, subscriber, seen = Publisher(spark, str(tmp_path)), Subscriber(spark, str(tmp_path)), []
+    d = DataSet(spark)
+    for name, schema in (("DeviceDetail", "NodeID string, Acronym string, Name string, AccessID int, FramesPerSecond int, ProtocolName string, CompanyAcronym string, VendorAcronym string, VendorDeviceName string, ParentAcronym string, Longitude double, Latitude double, UpdatedOn timestamp_ntz"),
+                         ("MeasurementDetail", "DeviceAcronym string, ID string, SignalID string, PointTag string, SignalReference string, SignalAcronym string, PhasorSourceIndex int, Internal boolean, Enabled boolean, Description string, UpdatedOn timestamp_ntz"),
+                         ("PhasorDetail", "ID int, DeviceAcronym string, Label string, Type string, Phase string, SourceIndex int, UpdatedOn timestamp_ntz")):
+        d.add(name, spark.createDataFrame([], schema))
+    publisher.define_metadata(d)
+    changes = [subscriber.configuration_changed(lambda x: seen.append(x.names())) for _ in range(2)]
+    publisher.define_metadata(d)
+    changes.append(subscriber.configuration_changed(lambda x: seen.append(x.names())))
+    assert changes == [True, False, True] and len(seen) == 2 and len(seen[0]) == 3
