@@ -1,12 +1,13 @@
 """Audio columns: bytes kept as 8-bit sound, and features of the sound that is read back.
 
-A payload is stored losslessly as a mono WAV of unsigned 8-bit samples. Features: polyphase resampling to
-half the rate, overlapped log-mel filterbanks, and segments of raised energy with hysteresis. The filterbank
+A payload is stored losslessly as a mono WAV of unsigned 8-bit samples. Features: polyphase resampling by
+UP / DOWN, overlapped log-mel filterbanks, and segments of raised energy with hysteresis. The filterbank
 values are cut into patches of one fixed shape, held as an Arrow fixed-shape tensor array, each patch with its
-span of time. Values are rounded to eighths, in double precision, so that equal payloads give equal features.
+span of time. Values are rounded to eighths, in double precision, so that equal payloads give equal features. The
+feature string is worked out from the tensors and spans as they are read back.
 
-Scale: one pass, no shuffle; a sound is worked through in blocks, so memory beyond the payload is bounded by
-its own features. Defined results: a null or empty text is 64 zero bytes; an empty table gives no rows; rows
+Scale: one pass, no shuffle; a sound is resampled and analysed in blocks of BLOCK frames, so that beyond the payload, its
+stored form and its patches (about one byte of patches a byte) memory doesn't grow with it. Defined results: a null or empty text is 64 zero bytes; an empty table gives no rows; rows
 are independent of each other, so that repeated rows give repeated results.
 """
 
@@ -21,11 +22,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-RATE, UP, DOWN = 16000, 1, 2
+RATE, UP, DOWN = 10000, 4, 5
 TAPS = 24
 FRAME, HOP, NFFT, MELS = 200, 80, 256, 20
 PATCH = 16
-BLOCK = 4096
+BLOCK = 1024
 STEP = 8
 
 OUT = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, n_patches int, segments array<struct<start_ms:int,end_ms:int>>, tensors binary, media binary"
@@ -68,20 +69,27 @@ def _phases(up: int, down: int, taps: int) -> np.ndarray:
 _BRANCHES = _phases(UP, DOWN, TAPS)
 
 
-def resample(x: np.ndarray, up: int = UP, down: int = DOWN, branches: np.ndarray = _BRANCHES) -> np.ndarray:
-    """Output m uses branch (m * down) % up at input (m * down) // up: one strided product a branch."""
-    n = -(-len(x) * up // down)
+def resampled(x: np.ndarray, a: int, b: int, up: int = UP, down: int = DOWN, branches: np.ndarray = _BRANCHES) -> np.ndarray:
+    """Samples a to b of x at up / down times its rate; x is silent outside. Output m uses branch (m * down) % up at
+    input (m * down) // up: one strided product a branch."""
     taps = branches.shape[1]
-    ext = np.concatenate([np.zeros(taps // 2), x, np.zeros(taps + down)])
-    y = np.empty(n)
-    for r in range(min(up, n)):
-        count = -(-(n - r) // up)
-        first = r * down // up
-        rows = np.lib.stride_tricks.as_strided(ext[first:], (count, taps), (ext.strides[0] * down, ext.strides[0]))
-        y[r::up] = rows @ branches[(r * down) % up]
+    lo, hi = a * down // up - taps // 2, (b - 1) * down // up - taps // 2 + taps
+    ext = np.zeros(hi - lo + down)
+    inside = x[max(lo, 0) : max(hi, 0)]
+    ext[max(-lo, 0) : max(-lo, 0) + len(inside)] = inside
+    y = np.empty(b - a)
+    for r in range(min(up, b - a)):
+        m = a + r
+        first = m * down // up - taps // 2 - lo
+        rows = np.lib.stride_tricks.as_strided(ext[first:], (-(-(b - m) // up), taps), (ext.strides[0] * down, ext.strides[0]))
+        y[r::up] = rows @ branches[(m * down) % up]
     return y
 
 
+def resample(x: np.ndarray, up: int = UP, down: int = DOWN, branches: np.ndarray = _BRANCHES) -> np.ndarray:
+    return resampled(x, 0, -(-len(x) * up // down), up, down, branches)
+
+
 def _filterbank(rate: int, nfft: int, mels: int) -> np.ndarray:
     mel = np.linspace(0, 2595 * np.log10(1 + rate / 2 / 700), mels + 2)
     edge = 700 * (10 ** (mel / 2595) - 1) * nfft / rate
@@ -94,17 +102,25 @@ _MEL = _filterbank(RATE * UP // DOWN, NFFT, MELS)
 _WINDOW = np.hanning(FRAME + 2)[1:-1]
 
 
-def log_mel(y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Rounded log-mel values (frames, MELS) as int16 eighths, and the log energy of each frame."""
-    n = 1 + max(0, -(-(len(y) - FRAME) // HOP))
-    ext = np.concatenate([y, np.zeros(max(0, (n - 1) * HOP + FRAME - len(y)))])
-    frames = np.lib.stride_tricks.as_strided(ext, (n, FRAME), (ext.strides[0] * HOP, ext.strides[0]))
+def log_mel(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Of 8-bit samples: rounded log-mel values (frames, MELS) as int16 eighths, and the log energy of each frame."""
+    x = np.frombuffer(data, np.uint8)
+    size = -(-len(x) * UP // DOWN)
+    n = 1 + max(0, -(-(size - FRAME) // HOP))
     mel, energy = np.empty((n, MELS), np.int16), np.empty(n)
+    reach = -(-FRAME * DOWN // UP) + 2 * TAPS
     for a in range(0, n, BLOCK):
-        part = frames[a : a + BLOCK]
-        power = np.abs(np.fft.rfft(part * _WINDOW, NFFT, axis=1)) ** 2
-        mel[a : a + BLOCK] = np.rint(np.log(power @ _MEL + 1e-6) * STEP)
-        energy[a : a + BLOCK] = np.log((part * part).mean(axis=1) + 1e-6)
+        b = min(n, a + BLOCK)
+        first, last = a * HOP, min(size, (b - 1) * HOP + FRAME)
+        # what the filter reaches, moved by whole cycles of its branches
+        cycle = max(0, (first * DOWN // UP - reach) // DOWN)
+        part = (x[cycle * DOWN : last * DOWN // UP + reach].astype(float) - 128) / 128
+        y = np.zeros((b - 1 - a) * HOP + FRAME)
+        y[: last - first] = resampled(part, first - cycle * UP, last - cycle * UP)
+        frames = np.lib.stride_tricks.as_strided(y, (b - a, FRAME), (y.strides[0] * HOP, y.strides[0]))
+        power = np.abs(np.fft.rfft(frames * _WINDOW, NFFT, axis=1)) ** 2
+        mel[a:b] = np.rint(np.log(power @ _MEL + 1e-6) * STEP)
+        energy[a:b] = np.log((frames * frames).mean(axis=1) + 1e-6)
     return mel, np.rint(energy * 64) / 64
 
 
@@ -146,26 +162,36 @@ def to_ipc(batch: pa.RecordBatch) -> bytes:
     return sink.getvalue().to_pybytes()
 
 
+def from_ipc(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """The patches and their spans."""
+    batch = pa.ipc.open_stream(data).read_next_batch()
+    return batch["patch"].to_numpy_ndarray(), np.stack([batch["start_ms"].to_numpy(), batch["end_ms"].to_numpy()], axis=1)
+
+
 def analyse(text: str | None) -> dict:
     """Everything about one text. The features come from the stored bytes, read back."""
     data = (text or "").encode()
     payload = padded(data)
     media = write_wav(payload)
     rate, back = read_wav(media)
-    x = (np.frombuffer(back, np.uint8).astype(float) - 128) / 128
-    mel, energy = log_mel(resample(x))
+    mel, energy = log_mel(back)
     ms = 1000 * DOWN * HOP // (rate * UP)
+    values, spans = patches(mel)
     return {
         "n_bytes": len(data), "payload_bytes": len(back), "payload_sha256": hashlib.sha256(back).hexdigest(), "tail_crc32": zlib.crc32(back[-64:]),
-        "media_bytes": len(media), "media_sha256": hashlib.sha256(media).hexdigest(), "media": media, "mel": mel, "segments": segments(energy) * ms,
+        "media_bytes": len(media), "media_sha256": hashlib.sha256(media).hexdigest(), "media": media, "frames": len(mel), "n_patches": len(values), "tensors": to_ipc(tensor_batch(values, spans)), "segments": segments(energy) * ms,
     }
 
 
 def feature(one: dict) -> str:
-    """frames x mels, patches, mean level, segments, and a digest of all values."""
-    mel, seg = one["mel"], one["segments"]
+    """Of the tensors and spans, read back: frames x mels, shape of the patches, mean level, where the last span ends, segments, and a
+    digest of all values and spans."""
+    values, spans = from_ipc(one["tensors"])
+    mel = np.rint(values.reshape(-1, MELS)[: one["frames"]] * STEP).astype(np.int16)
+    seg = one["segments"]
     long_ = int((seg[:, 1] - seg[:, 0]).max()) if len(seg) else 0
-    return f"{len(mel)}x{MELS};patches={-(-len(mel) // PATCH)}x{PATCH}x{MELS};mean={int(mel.astype(np.int64).sum()) // mel.size};segments={len(seg)};longest_ms={long_};sha={hashlib.sha256(mel.tobytes()).hexdigest()[:32]}"
+    sha = hashlib.sha256(np.ascontiguousarray(values).tobytes() + spans.astype("<i4").tobytes() + seg.astype("<i8").tobytes()).hexdigest()[:32]
+    return f"{len(mel)}x{MELS};patches={'x'.join(map(str, values.shape))};mean={int(mel.astype(np.int64).sum()) // mel.size};end_ms={int(spans[-1, 1])};segments={len(seg)};longest_ms={long_};sha={sha}"
 
 
 def audio(docs: DataFrame, digest: bool = False, rows: int = 64) -> DataFrame:
@@ -177,9 +203,7 @@ def audio(docs: DataFrame, digest: bool = False, rows: int = 64) -> DataFrame:
         out = analyse(text) | {"doc_id": doc_id}
         if digest:
             return out | {"feature": feature(out)}
-        values, spans = patches(out["mel"])
-        out["segments"] = [{"start_ms": int(a), "end_ms": int(b)} for a, b in out["segments"]]
-        return out | {"n_patches": len(values), "tensors": to_ipc(tensor_batch(values, spans))}
+        return out | {"segments": [{"start_ms": int(a), "end_ms": int(b)} for a, b in out["segments"]]}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         types = _arrow(digest)

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import shared_dir
+
 #: ASCII white space that separates words, as a regular-expression class body.
 SPACE = r"\x20\x09-\x0D"
 
@@ -19,22 +20,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, or one of our own where it is unset."""
-    sc = spark.sparkContext
-    named = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-    if not named:
-        named = "file://" + tempfile.mkdtemp(prefix="fluxsieve-")
-        sc.setCheckpointDir(named)
-        named = sc.getCheckpointDir()
-    return named
-
-
 def cut(df: DataFrame) -> DataFrame:
     """Write df to the shared folder and read it back: later jobs neither recompute it nor
     depend on the executor that made it. The files go when the session's JVM ends."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/{spark.sparkContext.applicationId}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{spark.sparkContext.applicationId}-{uuid.uuid4().hex}"
     jvm = spark.sparkContext._jvm
     was = spark.conf.get(CLEAN, "false")
     spark.conf.set(CLEAN, "true")  # the shuffles of this job go when it ends: nothing reads them again

@@ -24,6 +24,8 @@ from .common import SPACE, cut, word_count
 WEIGHTS = (5.0, 2.0, 1.0)
 BLOCK = 16
 SEED = 20240917
+#: Shards of the registered mix.
+SHARDS = 8
 #: Slices of a source's seeded order: at least this many, and one for each ROWS documents of a table.
 SLICES, ROWS = 64, 50_000
 
@@ -83,10 +85,11 @@ def block_quotas(targets: DataFrame, block: int = BLOCK, shards: int = 1) -> Dat
     return held.select("source", (F.col("shard") - 1).alias("shard"), (F.col("held") - before).alias("quota"), before.alias("first"))
 
 
-def mix(docs: DataFrame, share: float = 1.5, most: float = 2.0, weights: tuple = WEIGHTS, block: int = BLOCK, seed: int = SEED, shards: int = 1, carry: bool = False) -> DataFrame:
+def mix(docs: DataFrame, share: float = 1.5, most: float = 2.0, weights: tuple = WEIGHTS, block: int = BLOCK, seed: int = SEED, shards: int = 1, carry: bool = False, whole: bool = False) -> DataFrame:
     """docs(doc_id, text, source, ...) -> doc_id, size, source_size, target, taken, quota (blocks of its
     source), start (its place on the source's line), shard, and with carry all columns of docs, as `row`. With several shards a
-    document has a row for each that takes of it, in order of the blocks of the arc, or one without a shard. Order keys hash seed, doc_id and text: reruns agree,
+    document has a row for each that takes of it, in order of the blocks of the arc, or one without a shard; with whole one row, and
+    `parts` says what each shard takes. Order keys hash seed, doc_id and text: reruns agree,
     and rows that tie are copies of one another."""
     more = [F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")] if carry else []
     base = docs.select(
@@ -134,6 +137,9 @@ def mix(docs: DataFrame, share: float = 1.5, most: float = 2.0, weights: tuple =
 
     if shards > 1:
         rows = rows.withColumn("parts", F.filter(F.transform("dealt", part), lambda x: x["taken"] > 0))
+        if whole:
+            taken = F.aggregate("parts", F.lit(0).cast("long"), lambda n, x: n + x["taken"])
+            return rows.select("doc_id", "size", "source_size", "target", taken.alias("taken"), "quota", "start", "parts", *(["row"] if carry else []))
         rows = rows.withColumn("part", F.explode_outer("parts"))
         shard, taken = F.col("part.shard"), F.coalesce("part.taken", F.lit(0).cast("long"))
     else:

@@ -5,10 +5,13 @@ of the segment and of its neighbourhood, and a dynamic program over segments of
 boundaries and types jointly; it adds spans the rules miss (spelled-out addresses, local phone numbers,
 national identity numbers) and never removes or overlaps a base span.
 
-Candidate segments start and end at tokens, hold a digit or an "at" sign or word in any case, and stay
-within a line; everything else can only be outside, so the program runs on the neighbourhoods of such tokens,
-which is exact. The weights are learnt here by gradient ascent on the likelihood of a small generated
-corpus (no person's data), once a process; scanning is one pass without a shuffle.
+Candidate segments start and end at tokens, hold a digit or an "at" sign or word in any case, have LONGEST tokens at most, and stay
+within a line; everything else can only be outside, so the program runs on the neighbourhoods of such tokens: runs of numbers
+with 7 digits, or 4 and three dots, which every type needs, and what is around an "at". The weights are learnt here by
+gradient ascent on the likelihood of a small generated corpus (no person's data), once a process.
+
+Scale: one pass without a shuffle. The program keeps a few numbers a token of a neighbourhood and makes the segments of one
+token at a time, so time and memory grow in proportion to a text, also where it is one run.
 
 Defined results: a null text is the empty text and has no spans; an empty table gives no rows; equal
 texts give equal spans; rows are independent, so repeated rows give repeated results.
@@ -18,9 +21,12 @@ from __future__ import annotations
 
 import functools
 import hashlib
+import itertools
 import math
 import random
 import re
+from array import array
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -84,6 +90,7 @@ _DOT = re.compile(r"(?ai)\x20*(?:\.|[(\[]\x20?dot\x20?[)\]])\x20*|\x20+dot\x20+"
 #: Words that stand before "at" in prose, and last labels that are common.
 _PROSE = frozenset("look looks looked looking meet meets met arrive arrived stay stayed stop stopped see sold start started us them it is are was were be here there not only work works worked laugh aim point stare shop sit read find found open hosted available end begin him her me you and or".split())
 _LAST = frozenset("com org net edu gov info io biz eu de fr es it uk us ch nl co test example invalid".split())
+_MARKS = re.compile("[+().]")
 _TOKEN = re.compile(r"[0-9]+|[A-Za-z]+|.", re.DOTALL)
 #: Tokens in a segment, at most; a card of single spaced digits has 37.
 LONGEST = 40
@@ -103,46 +110,50 @@ def _cue(text: str, start: int) -> str:
     return ""
 
 
-def _features(text: str, start: int, end: int, kind: str) -> list[str]:
+def _features(text: str, start: int, end: int, kind: str, cue: str) -> list[str]:
     """Of a whole segment as one type."""
     span = text[start:end]
     digits = _digits(span)
     n = len(digits)
-    shape = "".join(str(min(len(x), 9)) if x.isdigit() else x for x in _TOKEN.findall(span))
+    shape = "".join(str(min(len(x), 9)) if x.isdigit() else x for x in _TOKEN.findall(span)) if len(span) <= 32 else span
     before, after = text[start - 1 : start], text[end : end + 1]
-    out = [f"{kind}:bias", f"{kind}:shape={shape}" if len(shape) <= 16 else f"{kind}:long", f"{kind}:plus={span[0] == '+'}", f"{kind}:cue={_cue(text, start)}"]
+    out = [f"{kind}:bias", f"{kind}:shape={shape}" if len(shape) <= 16 else f"{kind}:long", f"{kind}:plus={span[0] == '+'}", f"{kind}:cue={cue}"]
     out.append(f"{kind}:digits={'few' if n < 9 else 'some' if n < 12 else 'many' if n <= 19 else 'over'}")
     out.append(f"{kind}:luhn={12 <= n <= 19 and luhn(digits)}:{n >= 12}")
-    out.append(f"{kind}:ip={bool(m := _IP.fullmatch(span)) and all(int(p) <= 255 for p in m[0].split('.'))}")
+    out.append(f"{kind}:ip={n <= 12 and bool(m := _IP.fullmatch(span)) and all(int(p) <= 255 for p in m[0].split('.'))}")
     out.append(f"{kind}:cut={(before.isalnum() or before in '.-' and before != '')}{after.isalnum()}")
     out.append(f"{kind}:spaces={min(3, span.count(' '))}")
     return out
 
 
-def _allowed(span: str, n: int, kind: str) -> bool:
-    """What a type can be at all: bounds the segments, not their scores."""
-    if kind == "ip":
-        return span.count(".") == 3 and 4 <= n <= 12 and " " not in span
-    if kind == "card":
-        return 12 <= n <= 19 and not set(span) & set("+().")
-    if kind == "ssn":
-        return n == 9 and len(span) == 11
-    if kind == "phone":
-        return span[0] == "+" and 9 <= n <= 15
-    return span[0] != "+" and n == 10
+def _allowed(span: str, n: int) -> list[str]:
+    """The types a span with n digits can be at all: bounds the segments, not their scores."""
+    out = []
+    if n <= 12 and span.count(".") == 3 and " " not in span:
+        out.append("ip")
+    if span[0] == "+":
+        return [*out, "phone"] if 9 <= n <= 15 else out
+    if 12 <= n <= 19 and not _MARKS.search(span):
+        out.append("card")
+    if n == 10:
+        out.append("phone_local")
+    if n == 9 and len(span) == 11:
+        out.append("ssn")
+    return out
 
 
 Address = tuple[list[int], tuple[int, int], list[tuple[int, str]]]
 
 
 def _addresses(text: str, taken: list[tuple[int, int]]) -> Iterator[Address]:
-    """For each "at" outside the base spans, if a dot follows: places where an address can start, where the sign stands, and
+    """For each "at" outside the base spans (taken, in order), if a dot follows: places where an address can start, where the sign stands, and
     places where the address can end, with the dots up to there."""
     if "@" not in text and "at" not in text.lower():
         return
+    starts_, reached = [x for x, _ in taken], [0, *itertools.accumulate((y for _, y in taken), max)]
     for m in _AT.finditer(text):
-        low = max((y for x, y in taken if x < m.end()), default=0)
-        high = min((x for x, _ in taken if x >= m.end()), default=len(text))
+        i = bisect_left(starts_, m.end())
+        low, high = reached[i], starts_[i] if i < len(starts_) else len(text)
         left = m.start()
         while left > low and text[left - 1] == " ":
             left -= 1
@@ -175,50 +186,68 @@ def _address_features(text: str, start: int, sign: tuple[int, int], end: int, do
     return out
 
 
-def _lattice(text: str, start: int, end: int, addresses: list[Address]) -> tuple[list[int], list[tuple[int, int, str, list[str]]]]:
-    """Token bounds of a neighbourhood and its segments (from, to, type or "", features)."""
-    tokens = [(m.start() + start, m.end() + start) for m in _TOKEN.finditer(text[start:end])]
-    bounds = [a for a, _ in tokens] + [end]
-    segs: list[tuple[int, int, str, list[str]]] = []
-    for i, (a, b) in enumerate(tokens):
-        segs.append((i, i + 1, "", ["out:digits" if text[a].isdigit() else "out:word" if text[a].isalpha() else "out:mark"]))
+class Window:
+    """A neighbourhood: the bounds of its tokens, and the segments that start at each of them, made when they are asked for."""
+
+    def __init__(self, text: str, start: int, end: int, addresses: list[Address]):
+        self.text = text
+        self.bounds = array("q", (m.start() + start for m in _TOKEN.finditer(text[start:end])))
+        self.bounds.append(end)
+        self.addresses: dict[int, list[tuple[int, list[str]]]] = {}
+        for starts, sign, ends in addresses:
+            for b, dots in ends:
+                j = bisect_left(self.bounds, b)
+                for a in starts:
+                    i = bisect_left(self.bounds, a)
+                    if self.bounds[i] == a and self.bounds[j] == b and j - i <= LONGEST:
+                        self.addresses.setdefault(i, []).append((j, _address_features(text, a, sign, b, dots)))
+
+    def __len__(self) -> int:
+        return len(self.bounds) - 1
+
+    def segments(self, i: int) -> Iterator[tuple[int, str, list[str]]]:
+        """(end, type or "", features) of the segments from token i."""
+        text, bounds = self.text, self.bounds
+        a = bounds[i]
+        yield i + 1, "", ["out:digits" if text[a].isdigit() else "out:word" if text[a].isalpha() else "out:mark"]
         if text[a] in "0123456789+(":
-            n = 0
-            for j in range(i, min(i + LONGEST, len(tokens))):
-                c, d = tokens[j]
-                if text[c].isdigit():
-                    n += d - c
+            n, cue = 0, None
+            for j in range(i, min(i + LONGEST, len(bounds) - 1)):
+                if text[bounds[j]].isdigit():
+                    n += bounds[j + 1] - bounds[j]
                     if n > 19:
                         break
-                    span = text[a:d]
-                    segs += [(i, j + 1, k, _features(text, a, d, k)) for k in _TYPES if _allowed(span, n, k)]
-    at = {p: i for i, p in enumerate(bounds)}
-    for starts, sign, ends in addresses:
-        for b, dots in ends:
-            for a in starts:
-                if a in at and b in at and at[b] - at[a] <= LONGEST:
-                    segs.append((at[a], at[b], "email_words", _address_features(text, a, sign, b, dots)))
-    return bounds, segs
+                    if n >= 4:
+                        for k in _allowed(text[a : bounds[j + 1]], n):
+                            cue = _cue(text, a) if cue is None else cue
+                            yield j + 1, k, _features(text, a, bounds[j + 1], k, cue)
+        for j, features in self.addresses.get(i, ()):
+            yield j, "email_words", features
+
+    def best(self, w: dict[str, float]) -> list[tuple[int, int, str]]:
+        """The best segmentation, by dynamic programming, as (start, end, type) of what isn't outside; ties go to the earliest start, then
+        to the segment listed first."""
+        n = len(self)
+        top, origin, kinds = array("d", [-math.inf]) * (n + 1), array("q", [0]) * (n + 1), bytearray(n + 1)
+        top[0] = 0.0
+        for i in range(n):
+            here = top[i]
+            for j, kind, features in self.segments(i):
+                s = here + sum(w.get(f, 0.0) for f in features)
+                if s > top[j]:
+                    top[j], origin[j], kinds[j] = s, i, RANK[kind] + 1 if kind else 0
+        out = []
+        while n:
+            if kinds[n]:
+                out.append((self.bounds[origin[n]], self.bounds[n], KINDS[kinds[n] - 1]))
+            n = origin[n]
+        return out[::-1]
 
 
 def _scores(segs: list, w: dict[str, float]) -> list[float]:
     return [sum(w.get(f, 0.0) for f in s[3]) for s in segs]
 
 
-def _best(n: int, segs: list, w: dict[str, float]) -> list[tuple[int, int, str]]:
-    """The best segmentation, by dynamic programming; ties go to the segment listed first."""
-    top = [0.0] + [-math.inf] * n
-    back: list = [None] * (n + 1)
-    for (i, j, kind, _), s in sorted(zip(segs, _scores(segs, w)), key=lambda x: (x[0][0], x[0][1])):
-        if top[i] + s > top[j]:
-            top[j], back[j] = top[i] + s, (i, j, kind)
-    out = []
-    while n:
-        out.append(back[n])
-        n = back[n][0]
-    return out[::-1]
-
-
 def _gradient(n: int, segs: list, gold: set[tuple[int, int, str]], w: dict[str, float], grad: dict[str, float]) -> None:
     """Adds observed less expected features: forward and backward sums over all segmentations."""
     s = _scores(segs, w)
@@ -295,31 +324,44 @@ def generated(n: int, seed: int) -> list[tuple[str, list[tuple[int, int, str]]]]
     return out
 
 
-def _numbers(text: str, free_from: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
-    """Number runs with 7 digits or more, without the base spans."""
+def _numbers(text: str, taken: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
+    """Number runs with 7 digits or more, or 4 and three dots, without the base spans (taken, in order)."""
     if not _DIGITS.search(text):
         return
+    at = 0
     for m in _RUN.finditer(text):
         a, end = m.span()
-        for b, c in (*[x for x in free_from if x[0] < end and x[1] > a], (end, end)):
-            if sum(ch.isdigit() for ch in text[a : min(b, end)]) >= 7:
-                yield a, min(b, end)
-            a = max(a, c)
-
-
-def _windows(text: str, free_from: list[tuple[int, int]]) -> Iterator[tuple[int, int, list[Address]]]:
+        while at < len(taken) and taken[at][1] <= a:
+            at += 1
+        i = at
+        while True:
+            over = i < len(taken) and taken[i][0] < end
+            b = min(taken[i][0], end) if over else end
+            part = text[a:b]
+            digits = sum(map(len, _DIGITS.findall(part)))
+            if digits >= 7 or digits >= 4 and part.count(".") >= 3:
+                yield a, b
+            if not over:
+                break
+            a = max(a, taken[i][1])
+            i += 1
+
+
+def _windows(text: str, taken: list[tuple[int, int]]) -> Iterator[Window]:
     """Neighbourhoods with the addresses in them; what overlaps is one."""
-    parts = [(a, b, []) for a, b in _numbers(text, free_from)]
-    parts += [(x[0][0], x[2][-1][0], [x]) for x in _addresses(text, free_from)]
+    parts = [(a, b, []) for a, b in _numbers(text, taken)]
+    parts += [(x[0][0], x[2][-1][0], [x]) for x in _addresses(text, taken)]
     parts.sort(key=lambda x: x[:2])
     at = 0
     while at < len(parts):
         a, b, found = parts[at]
+        found = list(found)
         at += 1
         while at < len(parts) and parts[at][0] < b:
-            b, found = max(b, parts[at][1]), found + parts[at][2]
+            b = max(b, parts[at][1])
+            found += parts[at][2]
             at += 1
-        yield a, b, found
+        yield Window(text, a, b, found)
 
 
 @functools.cache
@@ -327,10 +369,11 @@ def weights(lines: int = 400, rounds: int = 25, seed: int = 5) -> dict[str, floa
     """Learnt by gradient steps on the likelihood, with a Gaussian prior. Deterministic."""
     cases = []
     for text, spans in generated(lines, seed):
-        for a, b, addresses in _windows(text, []):
-            bounds, segs = _lattice(text, a, b, addresses)
+        for window in _windows(text, []):
+            bounds = window.bounds
+            segs = [(i, *x) for i in range(len(window)) for x in window.segments(i)]
             at = {p: i for i, p in enumerate(bounds)}
-            inside = [(at[x], at[y], k) for x, y, k in spans if x in at and y in at and a <= x and y <= b]
+            inside = [(at[x], at[y], k) for x, y, k in spans if x in at and y in at]
             covered = {i for i, j, _ in inside for i in range(i, j)}
             gold = {*inside, *((i, i + 1, "") for i in range(len(bounds) - 1) if i not in covered)}
             if gold <= {s[:3] for s in segs}:
@@ -349,12 +392,8 @@ def weights(lines: int = 400, rounds: int = 25, seed: int = 5) -> dict[str, floa
 
 
 def added_spans(text: str, base: list[tuple[int, int, str]], w: dict[str, float]) -> list[tuple[int, int, str]]:
-    """What the field finds beside the base spans."""
-    out = []
-    for a, b, addresses in _windows(text, sorted({(x, y) for x, y, _ in base})):
-        bounds, segs = _lattice(text, a, b, addresses)
-        out += [(bounds[i], bounds[j], kind) for i, j, kind in _best(len(bounds) - 1, segs, w) if kind]
-    return [x for x in out if not any(x[0] < b and x[1] > a for a, b, _ in base)]
+    """What the field finds beside the base spans, whose places the neighbourhoods leave out."""
+    return [x for window in _windows(text, sorted({(a, b) for a, b, _ in base})) for x in window.best(w)]
 
 
 def spans(text: str | None, w: dict[str, float]) -> tuple[list[tuple[int, int, str]], list[tuple[int, int, str]]]:
@@ -369,12 +408,12 @@ def _joined(found: list[tuple[int, int, str]]) -> str:
     return ",".join(f"{k}:{a}:{b}" for a, b, k in found)
 
 
-SCHEMA = "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string"
-_ARROW = pa.schema([("doc_id", pa.int64()), *((f"n_{k}", pa.int64()) for k in BASE), ("base_sha256", pa.string()), ("spans", pa.string())])
+SCHEMA = "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_spans long"
+_ARROW = pa.schema([("doc_id", pa.int64()), *((f"n_{k}", pa.int64()) for k in BASE), ("base_sha256", pa.string()), ("spans", pa.string()), ("n_spans", pa.int64())])
 
 
 def find(docs: DataFrame) -> DataFrame:
-    """docs(doc_id, text, ...) -> SCHEMA, a row for each row."""
+    """docs(doc_id, text, ...) -> SCHEMA, a row for each row; n_spans counts all spans."""
     w = weights()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -387,6 +426,7 @@ def find(docs: DataFrame) -> DataFrame:
                     rows[f"n_{k}"].append(kinds.count(k))
                 rows["base_sha256"].append(hashlib.sha256(_joined(base).encode()).hexdigest())
                 rows["spans"].append(_joined(every))
+                rows["n_spans"].append(len(every))
             rows["doc_id"] = batch["doc_id"].cast(pa.int64())
             yield pa.RecordBatch.from_pydict(rows, schema=_ARROW)
 

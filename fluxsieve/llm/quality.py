@@ -5,7 +5,7 @@ counts of vote patterns of all documents estimates the labellers' accuracies and
 any label; the posterior of a document's pattern is its soft label. A linear scorer on hashed features is trained
 on the soft labels of a bounded sample and scores every document; documents that score under the threshold are rejected.
 
-Scale: two passes over the texts without a shuffle. Patterns are counted before they are shuffled, and there are
+Scale: three passes over the texts without a shuffle: votes, features of the sample, scores. Patterns are counted before they are shuffled, and there are
 3 ** labellers at most. The sample (SAMPLE documents, a parameter) is the least by a hash of id and text, so that
 it doesn't depend on the order of rows; its features are what the driver holds, with the weights (2 ** DIM numbers).
 
@@ -129,7 +129,10 @@ def look(text: str | None) -> tuple[list[str], np.ndarray, Stats] | None:
 class LabelModel(NamedTuple):
     good: float  # share of good documents
     rates: np.ndarray  # (labellers, class, vote), of the votes that are cast
-    posterior: dict[int, float]  # of good, by vote pattern
+
+    def posterior(self, codes: list[int]) -> np.ndarray:
+        """The probability to be good, by vote pattern, met when fitting or not."""
+        return _posterior(_ballots(codes), self.good, self.rates)
 
     def accuracy(self) -> dict[str, float]:
         """Of each labeller, when it votes."""
@@ -139,13 +142,23 @@ class LabelModel(NamedTuple):
         return {name: float(h / max(h + m, 1e-12)) for (name, _), h, m in zip(LABELLERS, hit, miss)}
 
 
+def _ballots(codes: list[int]) -> np.ndarray:
+    """The votes of each pattern, by labeller."""
+    return np.array([[c // 3 ** (len(LABELLERS) - 1 - j) % 3 for j in range(len(LABELLERS))] for c in codes], np.int64).reshape(-1, len(LABELLERS))
+
+
+def _posterior(v: np.ndarray, good: float, rates: np.ndarray) -> np.ndarray:
+    logs = [np.log(rates[np.arange(len(LABELLERS)), y, v]).sum(axis=1) for y in (BAD, GOOD)]
+    return 1 / (1 + np.exp(np.clip(logs[0] + np.log(1 - good + 1e-12) - logs[1] - np.log(good + 1e-12), -50, 50)))
+
+
 def expectation_maximisation(patterns: dict[int, int], rounds: int = 60) -> LabelModel:
     """patterns: documents by vote pattern. Starts from the majority of the votes, any bad vote outweighing the good
     ones; labellers are taken as independent given the class, and to abstain for reasons that say nothing about it,
     so that short texts aren't held to be bad; counts are smoothed by one document a cell."""
     codes = sorted(patterns)
     n = np.array([patterns[c] for c in codes], float)
-    v = np.array([[c // 3 ** (len(LABELLERS) - 1 - j) % 3 for j in range(len(LABELLERS))] for c in codes])
+    v = _ballots(codes)
     bad, good = (v == BAD).sum(axis=1), (v == GOOD).sum(axis=1)
     p = np.clip((good + 1.0 - (bad > 0) * good) / (good + bad + 2.0), 0.02, 0.98)
     share, rates = 0.5, np.ones((len(LABELLERS), 2, 3))
@@ -155,9 +168,8 @@ def expectation_maximisation(patterns: dict[int, int], rounds: int = 60) -> Labe
             for x in (BAD, GOOD):
                 rates[:, y, x] = (w[:, None] * (v == x)).sum(axis=0) + 1.0
         rates[:, :, :ABSTAIN] /= rates[:, :, :ABSTAIN].sum(axis=2, keepdims=True)
-        logs = [np.log(rates[np.arange(len(LABELLERS)), y, v]).sum(axis=1) for y in (BAD, GOOD)]
-        p = 1 / (1 + np.exp(np.clip(logs[0] + np.log(1 - share + 1e-12) - logs[1] - np.log(share + 1e-12), -50, 50)))
-    return LabelModel(share, rates, {c: float(x) for c, x in zip(codes, p)})
+        p = _posterior(v, share, rates)
+    return LabelModel(share, rates)
 
 
 def train(rows: list[tuple[np.ndarray, np.ndarray]], soft: np.ndarray, rounds: int = 300, step: float = 2.0, decay: float = 1e-5) -> np.ndarray:
@@ -209,19 +221,27 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> tuple[LabelModel, np.ndarray]
     few = docs.select(order.alias("draw"), "text").where(F.col("draw") <= limit)
     got = few.mapInArrow(featured, "draw long, pattern int, at binary, val binary").orderBy("draw", "at").limit(sample).toPandas()
     rows = [(np.frombuffer(a, np.int32), np.frombuffer(v, np.float32)) for a, v in zip(got["at"], got["val"])]
-    return model, train(rows, np.array([model.posterior[p] for p in got["pattern"]]))
+    return model, train(rows, model.posterior(got["pattern"].tolist()))
 
 
 SCHEMA = "doc_id long, posterior double, score double, keep boolean"
 _ARROW = pa.schema([("doc_id", pa.int64()), ("posterior", pa.float64()), ("score", pa.float64()), ("keep", pa.bool_())])
 
 
-def _score(text: str | None, model: LabelModel, w: np.ndarray) -> tuple[float, float]:
-    if (x := look(text)) is None:
-        return 0.0, 0.0
-    at, val = features(*x)
-    z = float((w[at] * val).sum() + w[-1])
-    return model.posterior[votes(x[2])], 1 / (1 + float(np.exp(-np.clip(z, -50, 50))))
+def _scores(texts: pa.Array, model: LabelModel, w: np.ndarray) -> tuple[list[float], list[float]]:
+    """Posteriors and scores."""
+    codes, out = [], []
+    for text in texts:
+        if (x := look(text.as_py())) is None:
+            codes.append(-1)
+            out.append(0.0)
+        else:
+            at, val = features(*x)
+            codes.append(votes(x[2]))
+            out.append(1 / (1 + float(np.exp(-np.clip(float((w[at] * val).sum() + w[-1]), -50, 50)))))
+    kinds = sorted({c for c in codes if c >= 0})
+    known = dict(zip(kinds, model.posterior(kinds).tolist())) | {-1: 0.0}
+    return [known[c] for c in codes], out
 
 
 def score(docs: DataFrame, fitted: tuple[LabelModel, np.ndarray] | None, threshold: float = THRESHOLD) -> DataFrame:
@@ -233,8 +253,7 @@ def score(docs: DataFrame, fitted: tuple[LabelModel, np.ndarray] | None, thresho
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, w = shared.value
         for batch in batches:
-            got = [_score(t.as_py(), model, w) for t in batch["text"]]
-            p, s = ([x[i] for x in got] for i in (0, 1))
+            p, s = _scores(batch["text"], model, w)
             yield pa.RecordBatch.from_arrays([batch["doc_id"].cast(pa.int64()), pa.array(p, pa.float64()), pa.array(s, pa.float64()), pa.array([x >= threshold for x in s], pa.bool_())], schema=_ARROW)
 
     return docs.select("doc_id", "text").mapInArrow(run, SCHEMA)
@@ -251,6 +270,6 @@ def keep_good(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, w = shared.value
         for batch in batches:
-            yield batch.filter(pa.array([_score(t.as_py(), model, w)[1] >= threshold for t in batch["text"]], pa.bool_()))
+            yield batch.filter(pa.array([x >= threshold for x in _scores(batch["text"], model, w)[1]], pa.bool_()))
 
     return docs.mapInArrow(run, kinds)

@@ -1,25 +1,26 @@
 """N-gram Jaccard join: a blocked sparse matrix product of documents by word n-grams.
 
 A row of the incidence matrix is a document's set of distinct n-grams, as 64-bit hashes; documents with
-equal sets are one class. A product of the matrix with its transpose holds the overlaps of all pairs. It is
-never formed whole:
+equal sets are one class. A product of the matrix with its transpose holds the overlap counts of all pairs. It is
+never formed whole; only entries that size-derived bounds leave open are accumulated:
 
 1. One pass makes the classes and counts n-grams. Frequent ones (a bounded table, by count) come last in a
    global order of n-grams, the others are ordered by hash.
-2. Two sets that reach the threshold share an n-gram among the first n - ceil(t n) + 1 of each (size-derived
+2. An entry can reach the threshold t only if the two rows share a column among the first n - ceil(t n) + 1 of each (size-derived
    bound), so only these columns are shuffled, and only columns with two classes or more are kept.
 3. Stars first: in each column two classes stand for the column, and each class is tried against those it meets
    most often. A few such rounds join large groups of near copies by as many pairs as they have members. Then all pairs that share a kept column, lie in different components so far, and can reach the
    threshold by size and by position in the column order, are tried: none of them is left out.
-4. Trying is the product in blocks: a block holds pairs and the rows of the matrix they need, its overlap
-   counts are exact, and it returns a spanning forest of the links it finds.
+4. Trying is the product, in blocks: a block holds the rows that its open entries need, as sorted column numbers. The columns of
+   a row are marked, the marks are summed over the columns of all its partners at once, and counts below the bound of the two sizes are
+   discarded. A block returns a spanning forest of the links it finds.
 
 Result: n_shingles and component (least doc_id reachable by links). Links between different texts are all found;
 copies are not expanded into pairs.
 
 Defined results: null, empty and blank texts have an empty set and link with nothing; texts with fewer words
 than n have one n-gram, the whole; an empty table gives no rows; repeated rows are documents of their own; null
-doc_ids are ignored when the least id is taken. Other columns are ignored.
+doc_ids are ignored when the least id is taken. Other columns are ignored, or carried whatever their names.
 """
 
 from __future__ import annotations
@@ -33,19 +34,21 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import SPACE, cut
 from .components import components
 
 #: Entries of the table of frequent n-grams, at most; it is broadcast (16 bytes each).
 FREQUENT = 1 << 18
 #: Hashes counted together in one pass over a task's rows.
-CHUNK = 1 << 22
+CHUNK = 1 << 20
 #: Rounds of stars, at most.
 ROUNDS = 4
 #: Bits of a signature; a power of two.
 BITS = 1024
 #: Bits of the bitmap of wanted keys.
 SLOTS = 1 << 24
+#: Classes that a task remembers, so that copies within it are emitted once.
+SEEN = 1 << 16
 #: Bytes of sets in a block of the product, about.
 BLOCK_BYTES = 24 << 20
 
@@ -182,6 +185,8 @@ def _postings(docs: DataFrame, k: int, num: int, den: int, order: Order) -> Data
         by = Order(*shared.value)
         seen: set[bytes] = set()
         for batch in batches:
+            if len(seen) > SEEN:
+                seen.clear()
             grams, pos, lens, ns, cs = [], [], [], [], []
             for text in batch["text"]:
                 x = ngrams(text.as_py(), k)
@@ -253,6 +258,49 @@ def _likely(texts: DataFrame, wanted: DataFrame) -> DataFrame:
     return texts.withColumn("slot", slot).mapInArrow(run, "key long, text string")
 
 
+def masked_product(sets: list[np.ndarray], left: list[int], right: list[int], num: int, den: int) -> list[tuple[int, int]]:
+    """The entries (left, right) of the product of the incidence matrix with its transpose that reach the threshold, less those that
+    join what earlier ones have joined. A negative number names no row."""
+    size = np.array([len(x) for x in sets], np.int64)
+    column = np.unique(np.concatenate(sets), return_inverse=True)[1].astype(np.int32) if sets else np.zeros(0, np.int32)
+    start = np.cumsum(size) - size
+    mark = np.zeros(len(column) + 1, np.int8)
+    parent = list(range(len(sets)))
+
+    def root(x: int) -> int:
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    partners: dict[int, list[int]] = {}
+    # the row with more partners is the one that is marked
+    often = np.bincount(np.array([x for x in (*left, *right) if x >= 0], np.int64), minlength=len(sets))
+    for a, b in zip(left, right):
+        if a >= 0 and b >= 0 and a != b:
+            a, b = (a, b) if (often[a], a) >= (often[b], b) else (b, a)
+            partners.setdefault(a, []).append(b)
+    out = []
+    for a, every in partners.items():
+        own = column[start[a] : start[a] + size[a]]
+        mark[own] = 1
+        for lo in range(0, len(every), 256):
+            others = np.array([b for b in every[lo : lo + 256] if root(b) != root(a)], np.int64)
+            if not len(others):
+                continue
+            n = size[others]
+            ends = np.cumsum(n)
+            at = np.arange(int(ends[-1])) + np.repeat(start[others] - (ends - n), n)
+            overlap = np.add.reduceat(mark[column[at]].astype(np.int64), ends - n)
+            for b in others[den * overlap >= num * (size[a] + n - overlap)].tolist():
+                x, y = root(a), root(b)
+                if x != y:
+                    parent[x] = y
+                    out.append((a, b))
+        mark[own] = 0
+    return out
+
+
 def _try(docs: DataFrame, reps: DataFrame, pairs: DataFrame, k: int, num: int, den: int) -> DataFrame:
     """pairs(a, b, n_a, n_b) -> the links (a, b) among them, as spanning forests of blocks."""
     for side in "ab":
@@ -292,27 +340,11 @@ def _try(docs: DataFrame, reps: DataFrame, pairs: DataFrame, k: int, num: int, d
                 yield pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), pa.array(cls, pa.binary()), pa.array(grams, pa.binary())], schema=_SET)
 
     def product(pairs: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
-        matrix = {bytes(c): np.frombuffer(g, np.uint64) for c, g in zip(rows["cls"], rows["grams"])}
-        parent: dict[bytes, bytes] = {}
-
-        def root(x: bytes) -> bytes:
-            while (up := parent.get(x, x)) != x:
-                parent[x] = parent.get(up, up)
-                x = up
-            return x
-
-        out = []
-        for a, b in zip(map(bytes, pairs["a"]), map(bytes, pairs["b"])):
-            if (ra := root(a)) != (rb := root(b)) and a in matrix and b in matrix:
-                x, y = matrix[a], matrix[b]
-                if len(x) > len(y):
-                    x, y = y, x
-                at = np.searchsorted(y, x)
-                both = int((y[np.minimum(at, len(y) - 1)] == x).sum())
-                if den * both >= num * (len(x) + len(y) - both):
-                    parent[ra] = rb
-                    out.append((a, b))
-        return pd.DataFrame(out, columns=["a", "b"])
+        names = {bytes(c): i for i, c in enumerate(rows["cls"])}
+        sets_ = [np.frombuffer(g, np.uint64) for g in rows["grams"]]
+        links = masked_product(sets_, [names.get(bytes(x), -1) for x in pairs["a"]], [names.get(bytes(x), -1) for x in pairs["b"]], num, den)
+        cls = list(map(bytes, rows["cls"]))
+        return pd.DataFrame([(cls[a], cls[b]) for a, b in links], columns=["a", "b"])
 
     incidence = texts.mapInArrow(sets, "part int, cls binary, grams binary")
     return cut(pairs.select("part", "a", "b").groupBy("part").cogroup(incidence.groupBy("part")).applyInPandas(product, "a binary, b binary"))
@@ -386,16 +418,35 @@ def join(docs: DataFrame, k: int = 4, num: int = 85, den: int = 100) -> DataFram
 
 def keep_one(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """The rows of docs without near copies: of each component the document with the least doc_id (null last), then the
-    least text hash, stays; documents without words all stay."""
-    found = cut(join(docs, k, num, den))
-    order = F.struct(F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("id"), F.col("text_hash").alias("hash"))
-    stays = found.where("root is not null").groupBy("root").agg(F.min(order).alias("s")).select("s.id", "s.hash")
-    blank = found.where("root is null").select(F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("id"), F.col("text_hash").alias("hash"))
-    stays = cut(stays.unionAll(blank.distinct()))
-    named = docs.withColumns({"_id": F.coalesce("doc_id", F.lit((1 << 63) - 1)), "_hash": F.xxhash64("text")})
-    out = named.join(stays.select(F.col("id").alias("_id"), F.col("hash").alias("_hash")), ["_id", "_hash"], "left_semi")
-    if found.where("root is not null").groupBy("doc_id", "text_hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty():
-        return out.drop("_id", "_hash")
-    # rows that repeat both id and text: one of them stays
-    blanks = out.where(F.coalesce(F.trim("text"), F.lit("")) == "")
-    return out.where(F.coalesce(F.trim("text"), F.lit("")) != "").dropDuplicates(["_id", "_hash"]).unionAll(blanks).select(*docs.columns)
+    least text hash, stays, once if it is repeated; documents without words all stay."""
+    found = cut(join(docs.select("doc_id", "text"), k, num, den)).where("root is not null")
+    last = F.coalesce("doc_id", F.lit((1 << 63) - 1))
+    stays = found.groupBy("root").agg(F.min(F.struct(last.alias("of"), F.col("text_hash").alias("of_hash"))).alias("s")).select("s.*")
+    worded = F.coalesce(F.col("text").rlike(rf"[^{SPACE}]"), F.lit(False))
+    rows = docs.select(last.alias("id"), F.xxhash64("text").alias("hash"), worded.alias("worded"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    out = rows.where("worded").join(cut(stays), (F.col("id") == F.col("of")) & (F.col("hash") == F.col("of_hash")), "left_semi")
+    if not found.groupBy("doc_id", "text_hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty():
+        out = out.dropDuplicates(["id", "hash"])
+    return out.unionAll(rows.where("not worded")).select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])
+
+
+def oracle(k: int = 4, num: int = 85, den: int = 100) -> str:
+    """The same by plain SQL: overlaps of all pairs of classes that share an n-gram, then the least doc_id that links reach."""
+    gram = " || ' ' || ".join(f"w[i + {j}]" for j in range(k))
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    return rf"""
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS node, doc_id, regexp_extract_all(translate(coalesce(text, ''), '{upper}', '{upper.lower()}'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT node, doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < {k} THEN [array_to_string(w, ' ')]
+      ELSE list_sort(list_distinct(list_transform(range(1, len(w) - {k - 2}), i -> {gram}))) END AS g FROM d),
+c AS (SELECT g, min(node) AS cls, len(g) AS n FROM s WHERE len(g) > 0 GROUP BY g),
+t AS (SELECT cls, n, unnest(g) AS x FROM c),
+l AS (SELECT a.cls AS a, b.cls AS b FROM t a JOIN t b ON a.x = b.x AND a.cls <> b.cls GROUP BY a.cls, b.cls, a.n, b.n HAVING {den} * count(*) >= {num} * (a.n + b.n - count(*))),
+r AS (SELECT cls AS a, cls AS b FROM c UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a),
+o AS (SELECT c.cls, c.g, s.doc_id FROM c JOIN s ON c.g = s.g),
+m AS (SELECT r.a AS cls, min(o.doc_id) AS least FROM r JOIN o ON o.cls = r.b GROUP BY r.a)
+SELECT s.doc_id, CAST(len(s.g) AS BIGINT) AS n_shingles, CASE WHEN len(s.g) > 0 THEN m.least ELSE s.doc_id END AS component_id
+FROM s LEFT JOIN c ON c.g = s.g LEFT JOIN m ON m.cls = c.cls
+"""
+
+
+ORACLE = oracle()

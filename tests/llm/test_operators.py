@@ -111,6 +111,24 @@ def test_expectation_maximisation_finds_accuracies():
     assert np.abs(np.array(list(model.accuracy().values())) - acc).max() < 0.04
 
 
+def test_quality_scores_votes_that_fitting_did_not_meet(spark, sf):
+    d = spark.read.parquet(f"{sf}/documents.parquet")
+    fitted = quality.fit(docs(spark, [(1, "It is a plain text with words, and it ends.", "a"), (2, "| | | x |", "a")]))
+    got = quality.score(d, fitted)
+    assert got.where("posterior between 0 and 1").count() == d.count()
+
+
+def test_posteriors_against_bayes():
+    model = quality.expectation_maximisation({0: 5, 1093: 20, 2186: 7, 40: 3})
+    for code in (0, 1, 40, 1093, 2186):
+        good, bad = model.good, 1 - model.good
+        for j in range(len(quality.LABELLERS)):
+            x = code // 3 ** (len(quality.LABELLERS) - 1 - j) % 3
+            if x != quality.ABSTAIN:
+                good, bad = good * model.rates[j, quality.GOOD, x], bad * model.rates[j, quality.BAD, x]
+        assert model.posterior([code])[0] == pytest.approx(good / (good + bad), abs=1e-6)
+
+
 def test_quality_of_odd_rows(spark):
     got = quality.score(odd(spark), quality.fit(odd(spark))).toPandas()
     assert len(got) == 11 and (got.score[got.doc_id.isin([3, 4, 5])] == 0).all()
@@ -299,14 +317,41 @@ def test_audio(spark):
 def test_resampling_keeps_a_low_tone():
     t = np.arange(4000) / audio.RATE
     y = audio.resample(np.sin(2 * np.pi * 500 * t))
-    want = np.sin(2 * np.pi * 500 * np.arange(len(y)) * audio.DOWN / audio.RATE)
-    assert len(y) == 2000
+    want = np.sin(2 * np.pi * 500 * np.arange(len(y)) * audio.DOWN / (audio.RATE * audio.UP))
+    assert len(y) == 4000 * audio.UP // audio.DOWN
     best = max(np.corrcoef(y[50:-50], np.roll(want, s)[50:-50])[0, 1] for s in range(-3, 4))
     assert best > 0.97
     up = audio._phases(3, 2, 16)
     assert len(audio.resample(np.ones(100), 3, 2, up)) == 150
 
 
+def test_resampling_against_plain_sums():
+    """Each output is the filter's branch times the inputs around it, in one piece or in blocks."""
+    x = np.random.default_rng(1).integers(0, 256, 3001).astype(np.uint8)
+    f = (x.astype(float) - 128) / 128
+    y = audio.resample(f)
+    h = audio._phases(audio.UP, audio.DOWN, audio.TAPS)
+    for m in (0, 1, 2, 3, 4, 777, len(y) - 1):
+        at = m * audio.DOWN // audio.UP - audio.TAPS // 2
+        assert y[m] == pytest.approx(sum(h[m * audio.DOWN % audio.UP, k] * f[at + k] for k in range(audio.TAPS) if 0 <= at + k < len(f)), abs=1e-12)
+    assert np.allclose(y[100:200], audio.resampled(f, 100, 200), atol=1e-12)
+
+
+def test_blocks_of_a_long_sound_against_one_piece(monkeypatch):
+    data = bytes(np.random.default_rng(2).integers(0, 256, 64 * 4000).astype(np.uint8))
+    x = (np.frombuffer(data, np.uint8).astype(float) - 128) / 128
+    y = np.concatenate([audio.resample(x), np.zeros(audio.FRAME)])
+    mel, energy = audio.log_mel(data)
+    assert len(mel) > 2 * audio.BLOCK
+    for i in (0, 1, audio.BLOCK - 1, audio.BLOCK, 2 * audio.BLOCK + 5, len(mel) - 1):
+        part = y[i * audio.HOP : i * audio.HOP + audio.FRAME]
+        power = np.abs(np.fft.rfft(part * audio._WINDOW, audio.NFFT)) ** 2
+        assert np.abs(np.log(power @ audio._MEL + 1e-6) * audio.STEP - mel[i]).max() <= 0.5 + 1e-9 and energy[i] == pytest.approx(np.log((part**2).mean() + 1e-6), abs=1 / 128 + 1e-9)
+    one = audio.analyse(data.decode("latin-1"))
+    values, spans = audio.from_ipc(one["tensors"])
+    assert values.shape == (one["n_patches"], audio.PATCH, audio.MELS) and spans.shape == (len(values), 2) and (spans[1:, 0] <= spans[:-1, 1]).all()
+
+
 def test_segments():
     e = np.array([0, 0, 5, 9, 5, 0, 0, 3.0, 3.0, 0, 0, 9, 9])
     assert audio.segments(e).tolist() == [[2, 5], [11, 13]]
@@ -463,6 +508,47 @@ def test_field_decides_on_addresses_in_words():
     assert pii.redact("mail x@y.org or joe at example dot com. Thanks") == "mail [EMAIL] or [EMAIL_WORDS]. Thanks"
 
 
+def test_field_against_all_segmentations():
+    w = pii.weights()
+    for text in ["555-123-4567", "1 (269) 5", "12-34 5678901", "123-45-6789 1", "joe at b.com", "(555) 123-4567"]:
+        for window in pii._windows(text, []):
+            def every(i):
+                if i == len(window):
+                    yield 0.0, []
+                    return
+                for j, kind, features in window.segments(i):
+                    for s, rest in every(j):
+                        yield s + sum(w.get(f, 0.0) for f in features), ([(window.bounds[i], window.bounds[j], kind)] if kind else []) + rest
+            made = list(every(0))
+            top = max(s for s, _ in made)
+            assert any(s == pytest.approx(top) and found == window.best(w) for s, found in made) and len(made) > 1
+
+
+def test_long_runs_take_time_in_proportion():
+    """Letters, numbers, signs and words around "at": ten times as long takes about ten times as long."""
+    import time
+
+    w = pii.weights()
+    for unit in ("x", "dot ", "1 2 3 ", "a@", "j at b.c ", "1.1.1.1 ", "+1 555 555 5555 ", "a at "):
+        took = []
+        for n in (4_000, 40_000):
+            began = time.process_time()
+            pii.spans("dot " + unit * (n // len(unit)), w)
+            took.append(time.process_time() - began)
+        assert took[1] < 30 * took[0] + 0.5, unit
+    began = time.process_time()
+    pii.spans("dot " + "x" * 100_000, w)
+    assert time.process_time() - began < 1
+
+
+def test_field_finds_personal_data_in_documents(spark, sf):
+    """Of the documents with data in the forms that people write them in, by plain patterns that the field doesn't use."""
+    forms = [_EMAIL, re.compile(r"\b\d{3}-\d{2}-\d{4}\b"), re.compile(r"\+1 \(\d{3}\) \d{3}-\d{4}"), re.compile(r"(?<!\d)(?:\d{4}[ -]){3}\d{4}(?!\d)"), re.compile(r"\b(?:\d{1,3}\.){3}\d{1,3}\b")]
+    texts = [r.text or "" for r in spark.read.parquet(f"{sf}/documents.parquet").select("text").collect()]
+    with_data = [t for t in texts if any(f.search(t) for f in forms)]
+    assert with_data and sum(bool(pii.spans(t, pii.weights())[1]) for t in with_data) >= 0.9 * len(with_data)
+
+
 # secrets
 
 
@@ -616,6 +702,38 @@ def test_ngrams_against_brute_force(spark, k, num):
     assert sorted(((x.doc_id, x.n_shingles, x.component_id) for x in got), key=str) == brute_groups(rows, k, num, 100)
 
 
+def test_masked_product_against_sets():
+    r = np.random.default_rng(3)
+    sets = [np.unique(r.integers(0, 60, int(r.integers(1, 50))).astype(np.uint64)) for _ in range(60)] + [np.arange(50, dtype=np.uint64)] * 3
+    left, right = (r.integers(-1, 63, 900).tolist() for _ in range(2))
+    links = shingles.masked_product(sets, left, right, 60, 100)
+    true = {(a, b) for a, b in zip(left, right) if a >= 0 <= b and a != b and 100 * len(np.intersect1d(sets[a], sets[b])) >= 60 * len(np.union1d(sets[a], sets[b]))}
+    assert all((a, b) in true or (b, a) in true for a, b in links)
+
+    def groups(pairs):
+        parent = list(range(63))
+        for a, b in pairs:
+            x, y = a, b
+            while parent[x] != x:
+                x = parent[x]
+            while parent[y] != y:
+                y = parent[y]
+            parent[max(x, y)] = min(x, y)
+        for i in range(63):
+            parent[i] = parent[parent[i]]
+        return parent
+
+    assert groups(links) == groups(true) and shingles.masked_product([], [-1], [-1], 1, 2) == []
+
+
+def test_near_copies_keep_columns_and_wordless_rows(spark):
+    rows = [(1, "a b c d e f"), (2, "A b c d e f"), (3, " \n\t "), (3, " \n\t "), (None, None), (None, None), (4, "x y z u v w"), (4, "x y z u v w")]
+    d = docs(spark, [(i, t, "a") for i, t in rows]).selectExpr("doc_id", "text", "7 as _id", "8 as _hash", "9 as `of`", "1 as id", "2 as hash", "3 as worded", "4 as `row`")
+    got = shingles.keep_one(d)
+    assert got.columns == d.columns
+    assert sorted((tuple(r)[:4] for r in got.collect()), key=str) == sorted([(1, "a b c d e f", 7, 8), (3, " \n\t ", 7, 8), (3, " \n\t ", 7, 8), (None, None, 7, 8), (None, None, 7, 8), (4, "x y z u v w", 7, 8)], key=str)
+
+
 def test_one_of_each_group_stays(spark):
     d = odd(spark)
     kept = shingles.keep_one(d)
