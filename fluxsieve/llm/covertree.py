@@ -368,7 +368,7 @@ def near_duplicates(rows: DataFrame, cosine: float = COSINE, block: int = BLOCK)
 #: The same by plain SQL: every pair of a label, then the least vec_id that links reach.
 ORACLE = f"""
 WITH RECURSIVE v AS (SELECT row_number() OVER () AS node, * FROM (SELECT DISTINCT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings)),
-g AS (SELECT * FROM v WHERE label IS NOT NULL AND len(e) > 0 AND len(list_filter(e, x -> x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(e, x -> x <> 0)) > 0),
+g AS (SELECT * FROM v WHERE label IS NOT NULL AND len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(e, lambda x: x <> 0)) > 0),
 l AS (SELECT a.node AS a, b.node AS b FROM g a JOIN g b ON a.label = b.label AND len(a.e) = len(b.e) AND a.node <> b.node
       WHERE list_dot_product(a.e, b.e) >= {COSINE} * sqrt(list_dot_product(a.e, a.e)) * sqrt(list_dot_product(b.e, b.e))),
 r AS (SELECT node AS a, node AS b FROM v UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a),

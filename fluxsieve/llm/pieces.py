@@ -66,6 +66,8 @@ class Model:
     def __init__(self, path: str, alpha: float):
         sp = sentencepiece.SentencePieceProcessor(model_file=path)
         n = sp.get_piece_size()
+        #: What ids are stored as: two bytes, or four where the vocabulary needs them.
+        self.stored = np.dtype("<u2" if n <= 1 << 16 else "<u4")
         self.byte_ids = [0] * 256
         self.pieces: dict[str, tuple[int, float]] = {}
         spelled = [b""] * n
@@ -113,16 +115,19 @@ class Model:
         self.ids = np.array([r[1] for r in rows], np.int32)
         self.weights = np.array([r[2] for r in rows])
 
-    def cut(self, text: str) -> list[str]:
-        """The units of a text. A unit that is long or has code points without a piece is cut wherever no piece crosses."""
-        out: list[str] = []
-        for u in _UNITS.findall(" " + text):
-            if u in self.units or len(u) <= LONG and self.single.issuperset(u):
-                out.append(u)
-            else:
-                at = [0, *(i for i in range(1, len(u)) if u[i - 1 : i + 1] not in self.pairs), len(u)]
-                out += [u[a:b] for a, b in zip(at, at[1:])]
-        return out
+    def _parts(self, u: str) -> list[str]:
+        """A unit that is long or has code points without a piece, cut wherever no piece crosses."""
+        at = [0, *(i for i in range(1, len(u)) if u[i - 1 : i + 1] not in self.pairs), len(u)]
+        return [u[a:b] for a, b in zip(at, at[1:])]
+
+    def cut(self, texts: list[str]) -> list[list[str]]:
+        """The units of each text. What a unit is cut into is looked up once for all texts."""
+        found = [_UNITS.findall(" " + t) for t in texts]
+        new = set().union(*found).difference(self.units)
+        odd = {u: self._parts(u) for u in new if len(u) > LONG or not self.single.issuperset(u)}
+        if odd:
+            found = [l if odd.keys().isdisjoint(l) else [p for u in l for p in odd.get(u, (u,))] for l in found]
+        return found
 
     def edges(self, unit: str) -> list[list[tuple[int, tuple[int, ...], float]]]:
         """For each place in the unit the edges that end there: (start, ids, weight)."""
@@ -264,21 +269,23 @@ class Units(dict):
         self.rest = np.zeros(1024)
         self.size = np.zeros(1024, np.int64)
         self.off = np.zeros(1024, np.int64)
-        self.pool = np.zeros(8192, np.uint16)
+        self.pool = np.zeros(8192, self.model.stored)
         self.used = 0
 
     def learn(self, units: set[str]) -> None:
         """Adds units that aren't known yet, all at once; a code point without a piece has one segmentation."""
-        new = sorted((u for u in units if u not in self), key=lambda u: (len(u), u))
-        plain = [u for u in new if self.model.single.issuperset(u)]
+        new = sorted(units.difference(self), key=len)
+        plain, odd = [], []
+        for u in new:
+            (plain if self.model.single.issuperset(u) else odd).append(u)
         for a, b in _chunks(np.fromiter(map(len, plain), np.int64, len(plain))):
             lat = Lattices(self.model, plain[a:b])
             ids, count, _ = lat.paths(np.arange(b - a))
             flat = np.concatenate([i[:n][::-1] for i, n in zip(ids, count)])
             self._add(plain[a:b], lat.log_best[lat.size, np.arange(b - a)], count, flat)
-        spelled = [[self.model.byte_ids[x] for x in u.encode()] for u in new if not self.model.single.issuperset(u)]
+        spelled = [[self.model.byte_ids[x] for x in u.encode()] for u in odd]
         if spelled:
-            self._add([u for u in new if not self.model.single.issuperset(u)], np.zeros(len(spelled)), np.array(list(map(len, spelled))), np.concatenate(spelled))
+            self._add(odd, np.zeros(len(spelled)), np.array(list(map(len, spelled))), np.concatenate(spelled))
 
     def _add(self, units: list[str], log_p: np.ndarray, count: np.ndarray, flat: np.ndarray) -> None:
         k, n = len(self.text), len(units)
@@ -418,7 +425,7 @@ def top_k(model: Model, texts: list[str], k: int, rngs: list[np.random.Generator
     units = model.units
     if len(units) > CACHE:
         units.reset()
-    cut = [model.cut(x) for x in texts]
+    cut = model.cut(texts)
     units.learn(set().union(*cut))
     searches = [Search(model, np.fromiter(map(units.__getitem__, c), np.int64, len(c)), r) for c, r in zip(cut, rngs)]
     begun = [(x, *x.begin(None, 0, None, -math.log(-math.log(x.rng.random() + 1e-300))), 0) for x in searches]
@@ -491,7 +498,7 @@ def _parts(batch: pa.RecordBatch) -> Iterator[tuple[list, list[str]]]:
 
 
 def encode(docs: DataFrame, k: int = K, alpha: float = ALPHA, seed: int = SEED, path: str | None = None) -> DataFrame:
-    """docs(doc_id, text, ...) -> SCHEMA: up to k rows for each row, rank from 1; ids are 16-bit little-endian; round_trip
+    """docs(doc_id, text, ...) -> SCHEMA: up to k rows for each row, rank from 1; ids are little-endian, of 16 bits (32 if the model has over 65,536 pieces); round_trip
     says that decoding them gives the text back."""
     path = path or model_path()
 
@@ -505,7 +512,7 @@ def encode(docs: DataFrame, k: int = K, alpha: float = ALPHA, seed: int = SEED,
                         ids = ids_of(model, x.t, s)
                         log_p = float(s.log_p.sum())
                         score = 1.0 if x.left == -math.inf else -math.expm1(-math.exp(min(700.0, log_p - x.left)))
-                        raw = ids.astype("<u2").tobytes()
+                        raw = ids.astype(model.stored).tobytes()
                         rows.append((doc_id, rank, len(ids), raw, zlib.crc32(raw), log_p, s.value, score, model.decode(ids) == text))
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _ARROW)], schema=_ARROW)
 
@@ -519,7 +526,7 @@ def decode(rows: DataFrame, path: str | None = None) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = model_of(path, ALPHA)
         for batch in batches:
-            text = [model.decode(np.frombuffer(x.as_py(), "<u2")) for x in batch["ids"]]
+            text = [model.decode(np.frombuffer(x.as_py(), model.stored)) for x in batch["ids"]]
             yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["rank"], pa.array(text, pa.string())], ["doc_id", "rank", "text"])
 
     return rows.select("doc_id", "rank", "ids").mapInArrow(run, "doc_id long, rank int, text string")

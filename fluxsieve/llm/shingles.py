@@ -437,7 +437,7 @@ def oracle(k: int = 4, num: int = 85, den: int = 100) -> str:
     return rf"""
 WITH RECURSIVE d AS (SELECT row_number() OVER () AS node, doc_id, regexp_extract_all(translate(coalesce(text, ''), '{upper}', '{upper.lower()}'), '[^\x20\x09-\x0D]+') AS w FROM documents),
 s AS (SELECT node, doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < {k} THEN [array_to_string(w, ' ')]
-      ELSE list_sort(list_distinct(list_transform(range(1, len(w) - {k - 2}), i -> {gram}))) END AS g FROM d),
+      ELSE list_sort(list_distinct(list_transform(range(1, len(w) - {k - 2}), lambda i: {gram}))) END AS g FROM d),
 c AS (SELECT g, min(node) AS cls, len(g) AS n FROM s WHERE len(g) > 0 GROUP BY g),
 t AS (SELECT cls, n, unnest(g) AS x FROM c),
 l AS (SELECT a.cls AS a, b.cls AS b FROM t a JOIN t b ON a.x = b.x AND a.cls <> b.cls GROUP BY a.cls, b.cls, a.n, b.n HAVING {den} * count(*) >= {num} * (a.n + b.n - count(*))),
