@@ -38,9 +38,16 @@ def shared_dir(spark: SparkSession) -> str:
     return named.rstrip("/")
 
 
+#: Bytes of a batch that goes to a Python worker, at most: texts are long, and workers stay alive with what they once needed.
+BATCH = 4 << 20
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
 def ship(spark: SparkSession) -> None:
-    """Make this package importable on the Python workers, once an application."""
+    """Make this package importable on the Python workers, once an application, and bound the batches that they get."""
     sc = spark.sparkContext
+    if not str(size := spark.conf.get(_BATCH, "")).isdigit() or int(size) > BATCH:
+        spark.conf.set(_BATCH, str(BATCH))
     if getattr(sc, "_fluxsieve_shipped", False):
         return
     here = Path(__file__).resolve().parent
