@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -36,14 +36,14 @@ def field(name: str, kind: str, computed: str | None = None) -> T.StructField:
 
 
 def with_order(df: DataFrame, key: Sequence[str] = ()) -> DataFrame:
-    """Adds the natural order. With a unique integer key that is the key itself, else the rank by key columns; without any
+    """Adds the natural order. With a unique integer key that is the key itself, else a struct of the key columns; without any
     key, the place of a row in its source, which holds as long as the source's files do."""
     if RID in df.columns:
         return df
     if len(key) == 1 and isinstance(df.schema[key[0]].dataType, (T.LongType, T.IntegerType)):
         return df.withColumn(RID, F.col(key[0]).cast("long"))
     if key:
-        return df.withColumn(RID, F.row_number().over(Window.orderBy(*key)).cast("long"))
+        return df.withColumn(RID, F.struct(*key))
     return df.withColumn(RID, F.monotonically_increasing_id())
 
 

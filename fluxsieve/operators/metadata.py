@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.binder import Binder
@@ -28,8 +28,9 @@ MEASUREMENT_PREFIXES = ("GATEWAY", "MODBUS", "DNP")
 
 def last_by(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One row for each key: the last in natural order."""
-    w = Window.partitionBy(*keys).orderBy(F.desc(RID))
-    return df.withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n")
+    # combined before the shuffle
+    last = df.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(F.max_by(F.struct(*[F.col(c) for c in df.columns]), RID).alias("_r"))
+    return last.select("_r.*")
 
 
 def protocol_type(protocol: Column, others: Sequence[str] = ()) -> Column:

@@ -29,7 +29,7 @@ def data(spark: SparkSession, sf_dir: str, *names: str) -> DataSet:
     out = DataSet(spark)
     for name in names:
         ids = IdFields("c_name", "c_name", "c_name") if name == "customer" else IdFields("p_name", "p_name", "p_name")
-        out.add(name, read(spark, sf_dir, name), KEYS[name][:1], ids)
+        out.add(name, read(spark, sf_dir, name), () if name == "lineitem" else KEYS[name], ids)
     return out
 
 
@@ -243,9 +243,9 @@ def _metadata(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, D
         (F.col("s_suppkey") % 7).cast("int").alias("PhasorSourceIndex"), F.element_at(kinds, (F.col("s_suppkey") % 4 + 1).cast("int")).alias("SignalAcronym"), F.lit(True).alias("Internal"),
         F.when(F.col("s_suppkey") % 10 == 0, F.lit(False)).when(F.col("s_suppkey") % 10 != 1, F.lit(True)).alias("Enabled"), F.concat(F.lit("about "), "s_name").alias("Description"), F.lit(None).cast("timestamp_ntz").alias("UpdatedOn"), F.col("s_suppkey").alias(RID),
     )
-    # nations above 20 have no device
-    d = n.where("n_nationkey <= 20").select(
-        F.lit("node").alias("NodeID"), F.concat(F.lit("DEV"), F.col("n_nationkey").cast("string")).alias("Acronym"), F.col("n_name").alias("Name"), F.col("n_nationkey").alias("AccessID"), F.when(F.col("n_regionkey") > 0, F.lit(60)).alias("FramesPerSecond"),
+    # nations above 20 have devices of other names
+    d = n.select(
+        F.lit("node").alias("NodeID"), F.concat(F.when(F.col("n_nationkey") <= 20, F.lit("DEV")).otherwise(F.lit("OTHER")), F.col("n_nationkey").cast("string")).alias("Acronym"), F.col("n_name").alias("Name"), F.col("n_nationkey").alias("AccessID"), F.when(F.col("n_regionkey") > 0, F.lit(60)).alias("FramesPerSecond"),
         F.element_at(protocols, (F.col("n_nationkey") % 4 + 1).cast("int")).alias("ProtocolName"), F.lit("C").alias("CompanyAcronym"), F.lit("V").alias("VendorAcronym"), F.lit("VD").alias("VendorDeviceName"), F.lit("").alias("ParentAcronym"), F.lit(0.0).alias("Longitude"), F.lit(0.0).alias("Latitude"), F.col("n_nationkey").cast("long").alias(RID),
     )
     p = r.select(F.col("r_regionkey").alias("ID"), F.concat(F.lit("DEV"), F.col("r_regionkey").cast("string")).alias("DeviceAcronym"), F.lit("V").alias("Type"), F.lit("A").alias("Phase"), F.col("r_regionkey").alias("SourceIndex"), F.col("r_regionkey").cast("long").alias(RID))
@@ -256,20 +256,22 @@ _META_SQL = """
 m AS (SELECT 'PPA:' || s_suppkey AS ID, lpad(CAST(s_suppkey AS VARCHAR), 12, '0') AS SignalID, s_name AS PointTag, 'DEV' || s_nationkey AS DeviceAcronym,
   'DEV' || (s_nationkey % 5) || '-PA' || (s_suppkey % 7) AS SignalReference, s_suppkey % 7 AS psi, list_extract(['FREQ', 'VPHM', 'IPHA', 'STAT'], CAST(s_suppkey % 4 + 1 AS INTEGER)) AS SignalAcronym,
   CASE WHEN s_suppkey % 10 = 0 THEN false WHEN s_suppkey % 10 <> 1 THEN true END AS Enabled, s_suppkey, 'about ' || s_name AS Description FROM supplier),
-d AS (SELECT 'DEV' || n_nationkey AS Acronym, n_name AS Name, n_nationkey AS AccessID, CASE WHEN n_regionkey > 0 THEN 60 END AS fps, list_extract(['Gateway', 'IeeeC37_118V1', 'DNP3', 'Modbus/TCP'], n_nationkey % 4 + 1) AS protocol FROM nation WHERE n_nationkey <= 20),
+d AS (SELECT CASE WHEN n_nationkey <= 20 THEN 'DEV' ELSE 'OTHER' END || n_nationkey AS Acronym, n_name AS Name, n_nationkey AS AccessID, CASE WHEN n_regionkey > 0 THEN 60 END AS fps, list_extract(['Gateway', 'IeeeC37_118V1', 'DNP3', 'Modbus/TCP'], n_nationkey % 4 + 1) AS protocol FROM nation),
 p AS (SELECT r_regionkey AS ID, 'DEV' || r_regionkey AS DeviceAcronym, r_regionkey AS si FROM region)"""
 
 
 def phasor_pair_assoc(spark: SparkSession, sf_dir: str) -> DataFrame:
     m, _, p = _metadata(spark, sf_dir)
-    other = m.withColumn("SignalReference", F.replace("SignalReference", F.lit("-PA"), F.lit("-PM"))).where(F.col(RID) % 2 == 0)
+    # every other magnitude has a reference that no phasor has
+    other = m.withColumn("SignalReference", F.replace("SignalReference", F.lit("-PA"), F.when(F.col(RID) % 2 == 0, F.lit("-PM")).otherwise(F.lit("-QM"))))
     both = m.unionByName(other.withColumn("SignalID", F.concat(F.lit("M"), "SignalID")))
     return M.phasor_pairs(p, both).select("ID", "angle_id", "magnitude_id")
 
 
 def signal_index_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = read(spark, sf_dir, "events").withColumn("signal_index", F.col("user_id") % 100)
-    cache = read(spark, sf_dir, "customer").where("c_custkey < 60").select(F.col("c_custkey").alias("signal_index"), F.col("c_name").alias("signalid"))
+    # odd indexes are unknown
+    cache = read(spark, sf_dir, "customer").select((F.col("c_custkey") * 2).alias("signal_index"), F.col("c_name").alias("signalid"))
     return S.indexed(e, cache, True).select("event_id", "signal_index", "signalid")
 
 
@@ -316,6 +318,11 @@ OTHERS: tuple[tuple[str, Query, str], ...] = (
     ("identifier_guid", lambda s, d: Q.select_signal_ids(data(s, d, "customer"), "12345678-1234-1234-1234-123456789ABC", "customer"), "SELECT '12345678-1234-1234-1234-123456789abc' AS signal_id"),
     ("identifier_key", lambda s, d: _by_key(s, d), "SELECT 'PPA:' || c_custkey AS ID, c_name FROM customer WHERE c_custkey = 12"),
     ("row_set", lambda s, d: Q.select_row_set(data(s, d, "customer"), "FILTER TOP 30 customer WHERE c_acctbal > 0 ORDER BY c_name; c_nationkey = 1", "customer").drop(RID), "SELECT * FROM customer WHERE c_nationkey = 1 OR c_custkey IN (SELECT c_custkey FROM customer WHERE c_acctbal > 0 ORDER BY c_custkey LIMIT 30)"),
+    ("union_without_key", lambda s, d: Q.select_rows(data(s, d, "lineitem"), "FILTER lineitem WHERE l_quantity < 3; l_linenumber = 7").select("l_orderkey", "l_linenumber", "l_quantity"), "SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem WHERE l_quantity < 3 OR l_linenumber = 7"),
+    ("union_composite_key", lambda s, d: _by_two_keys(s, d), "SELECT o_orderkey, o_custkey FROM orders WHERE o_custkey < 50 OR o_orderkey % 10 = 3"),
+    ("lookup_by_signal_id", lambda s, d: M.lookup(_metadata(s, d)[0], "SignalID", "000000000007").select("ID", "PointTag"), f"WITH {_META_SQL} SELECT ID, PointTag FROM m WHERE s_suppkey = 7"),
+    ("lookup_by_key", lambda s, d: M.lookup(_metadata(s, d)[0], "ID", "PPA:8").select("ID", "PointTag"), f"WITH {_META_SQL} SELECT ID, PointTag FROM m WHERE s_suppkey = 8"),
+    ("lookup_by_reference", lambda s, d: M.lookup(_metadata(s, d)[0], "SignalReference", "DEV2-PA3").select("ID", "PointTag"), f"WITH {_META_SQL} SELECT ID, PointTag FROM m WHERE SignalReference = 'DEV2-PA3' ORDER BY s_suppkey DESC LIMIT 1"),
     ("table_select", lambda s, d: data(s, d, "customer").select("customer", "c_nationkey = 4", "c_name DESC", 7).drop(RID), "SELECT * FROM customer WHERE c_nationkey = 4 ORDER BY c_custkey LIMIT 7"),
     ("rows_where", lambda s, d: data(s, d, "customer").rows_where("customer", F.col("c_acctbal") > 9000, 12).drop(RID), "SELECT * FROM customer WHERE c_acctbal > 9000 ORDER BY c_custkey LIMIT 12"),
     ("computed_column", computed_column, "SELECT c_custkey, CAST(CASE WHEN c_nationkey > 20 THEN 0 ELSE c_nationkey + 2 END AS INTEGER) AS ComputedCol FROM customer"),
@@ -329,8 +336,8 @@ OTHERS: tuple[tuple[str, Query, str], ...] = (
     ("phasor_pair_assoc", phasor_pair_assoc, f"WITH {_META_SQL}, a AS (SELECT SignalReference, arg_max(SignalID, s_suppkey) AS id FROM m GROUP BY 1), b AS (SELECT replace(SignalReference, '-PA', '-PM') AS SignalReference, arg_max('M' || SignalID, s_suppkey) AS id FROM m WHERE s_suppkey % 2 = 0 GROUP BY 1) SELECT p.ID, CASE WHEN b.id IS NOT NULL THEN a.id END AS angle_id, CASE WHEN a.id IS NOT NULL THEN b.id END AS magnitude_id FROM p LEFT JOIN a ON a.SignalReference = DeviceAcronym || '-PA' || si LEFT JOIN b ON b.SignalReference = DeviceAcronym || '-PM' || si"),
     ("route_measurements", lambda s, d: S.route(read(s, d, "orders").select(F.col("o_custkey").alias("signalid"), "o_orderkey"), read(s, d, "customer").where("c_nationkey < 5").select(F.col("c_custkey").alias("signalid"), F.col("c_nationkey").alias("connection"))), "SELECT o_custkey AS signalid, o_orderkey, c_nationkey AS connection FROM orders JOIN customer ON o_custkey = c_custkey WHERE c_nationkey < 5"),
     ("replace_routes", lambda s, d: S.replace_routes(read(s, d, "customer").where("c_nationkey < 5").select(F.col("c_custkey").alias("signalid"), F.col("c_nationkey").cast("string").alias("connection")), "3", read(s, d, "customer").where("c_nationkey = 9").select(F.col("c_custkey").alias("signalid"))), "SELECT c_custkey AS signalid, CASE WHEN c_nationkey = 9 THEN '3' ELSE CAST(c_nationkey AS VARCHAR) END AS connection FROM customer WHERE c_nationkey IN (0, 1, 2, 4, 9)"),
-    ("signal_index_lookup", signal_index_lookup, "SELECT event_id, user_id % 100 AS signal_index, coalesce(c_name, '00000000-0000-0000-0000-000000000000') AS signalid FROM events LEFT JOIN (SELECT * FROM customer WHERE c_custkey < 60) ON user_id % 100 = c_custkey"),
-    ("adjusted_value", lambda s, d: S.adjusted(_signal(_e(s, d)), read(s, d, "customer").where("c_custkey < 80").select(F.col("c_custkey").alias("signalid"), F.col("c_nationkey").cast("double").alias("adder"), F.lit(2.0).alias("multiplier"))).select("event_id", "adjusted"), "SELECT event_id, value * CASE WHEN c_custkey IS NULL THEN 1.0::DOUBLE ELSE 2.0::DOUBLE END + coalesce(c_nationkey, 0)::DOUBLE AS adjusted FROM events LEFT JOIN (SELECT * FROM customer WHERE c_custkey < 80) ON user_id = c_custkey"),
+    ("signal_index_lookup", signal_index_lookup, "SELECT event_id, user_id % 100 AS signal_index, coalesce(c_name, '00000000-0000-0000-0000-000000000000') AS signalid FROM events LEFT JOIN customer ON user_id % 100 = c_custkey * 2"),
+    ("adjusted_value", lambda s, d: S.adjusted(_signal(_e(s, d)), read(s, d, "customer").select((F.col("c_custkey") * 2).alias("signalid"), F.col("c_nationkey").cast("double").alias("adder"), F.lit(2.0).alias("multiplier"))).select("event_id", "adjusted"), "SELECT event_id, value * CASE WHEN c_custkey IS NULL THEN 1.0::DOUBLE ELSE 2.0::DOUBLE END + coalesce(c_nationkey, 0)::DOUBLE AS adjusted FROM events LEFT JOIN customer ON user_id = c_custkey * 2"),
     ("subscribe_semi_join", lambda s, d: S.subscribed(read(s, d, "orders"), Q.select_rows(data(s, d, "customer"), "FILTER customer WHERE c_mktsegment = 'building'").select("c_custkey"), "o_custkey").select("o_orderkey", "o_custkey"), "SELECT o_orderkey, o_custkey FROM orders WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')"),
     ("avg_frequency_per_second", lambda s, d: S.windowed_average(_e(s, d), 10, 50, "1 hour").select("start", F.round("average", 6).alias("average"), "n"), "SELECT time_bucket(INTERVAL 1 HOUR, ts) AS start, round(avg(CASE WHEN value BETWEEN 10 AND 50 THEN value END), 6) AS average, count(CASE WHEN value BETWEEN 10 AND 50 THEN 1 END) AS n FROM events GROUP BY 1"),
     ("downsampled_count", lambda s, d: S.down_sampled(_e(s, d).withColumn("ts", F.date_trunc("day", "ts").cast("timestamp_ntz")), 30, "ts", "user_id"), "SELECT date_trunc('day', ts)::TIMESTAMP AS second, CAST(count(*) - count(DISTINCT user_id) AS BIGINT) AS down_sampled FROM events GROUP BY 1"),
@@ -343,9 +350,9 @@ OTHERS: tuple[tuple[str, Query, str], ...] = (
     ("throttle_latest", lambda s, d: S.throttle(_e(s, d).select("user_id", "event_id", "ts", "value"), "1 day", "ts", "user_id", "event_id"), "SELECT time_bucket(INTERVAL 1 DAY, ts) AS interval_start, user_id, max(event_id) AS event_id, arg_max(ts, event_id) AS ts, arg_max(value, event_id) AS value FROM events GROUP BY 1, 2"),
     ("nan_filter", lambda s, d: S.without_nan(_e(s, d).withColumn("value", F.when(F.col("event_id") % 7 == 0, F.lit(float("nan"))).otherwise(F.col("value")))).select("event_id", "value"), "SELECT event_id, value FROM events WHERE event_id % 7 <> 0"),
     ("temporal_range", lambda s, d: S.between(_e(s, d), _ntz("2024-01-05"), _ntz("2024-01-06 12:00:00")).select("event_id", "ts"), "SELECT event_id, ts FROM events WHERE ts BETWEEN TIMESTAMP '2024-01-05' AND TIMESTAMP '2024-01-06 12:00:00'"),
-    ("sequence_gaps", lambda s, d: S.sequence_gaps(_e(s, d).where("event_id % 11 <> 3"), "event_id", "event_type").select("event_id", "event_type", "missing"), "SELECT event_id, event_type, missing FROM (SELECT event_id, event_type, event_id - lag(event_id) OVER (PARTITION BY event_type ORDER BY event_id) - 1 AS missing FROM events WHERE event_id % 11 <> 3) WHERE missing > 0"),
+    ("sequence_gaps", lambda s, d: S.sequence_gaps(_e(s, d).withColumn("sequence", F.expr("event_id + event_id div 11")), "sequence", "event_type").select("event_id", "event_type", "missing"), "SELECT event_id, event_type, missing FROM (SELECT event_id, event_type, n - lag(n) OVER (PARTITION BY event_type ORDER BY n) - 1 AS missing FROM (SELECT event_id, event_type, event_id + event_id // 11 AS n FROM events)) WHERE missing > 0"),
     ("dedupe_sequence", lambda s, d: S.dedupe_sequence(_e(s, d).select((F.col("event_id") % 1000).alias("sequence")), ["sequence"]), "SELECT DISTINCT event_id % 1000 AS sequence FROM events"),
-    ("ordered_blocks", lambda s, d: S.ordered_blocks(_e(s, d).select("event_type", "event_id").where("event_id <> 500").selectExpr("event_id % 3 as channel", "event_id div 3 as sequence")), "SELECT channel, sequence FROM (SELECT DISTINCT event_id % 3 AS channel, event_id // 3 AS sequence, row_number() OVER (PARTITION BY event_id % 3 ORDER BY event_id // 3) - 1 AS n FROM events WHERE event_id <> 500) WHERE n = sequence"),
+    ("ordered_blocks", lambda s, d: S.ordered_blocks(_e(s, d).selectExpr("event_id % 3 as channel", "event_id div 3 + if(event_id >= 500 and event_id % 3 = 2, 1, 0) as sequence")), "SELECT channel, sequence FROM (SELECT channel, sequence, row_number() OVER (PARTITION BY channel ORDER BY sequence) - 1 AS n FROM (SELECT DISTINCT event_id % 3 AS channel, event_id // 3 + CASE WHEN event_id >= 500 AND event_id % 3 = 2 THEN 1 ELSE 0 END AS sequence FROM events)) WHERE n = sequence"),
     ("flags_compact", flags_compact, "SELECT event_id, flags, compact, CAST((compact & 1) * 252 | (compact & 2) // 2 * 61187 | (compact & 4) // 4 * 12517376 | (compact & 8) // 8 * 3758096384 | (compact & 16) // 16 * 4096 | (compact & 32) // 32 * 4194304 AS BIGINT) AS expanded FROM (SELECT event_id, flags, CAST(CAST(flags & 252 <> 0 AS INTEGER) + 2 * CAST(flags & 61187 <> 0 AS INTEGER) + 4 * CAST(flags & 12517376 <> 0 AS INTEGER) + 8 * CAST(flags & 3758096384 <> 0 AS INTEGER) + 16 * CAST(flags & 4096 <> 0 AS INTEGER) + 32 * CAST(flags & 4194304 <> 0 AS INTEGER) AS INTEGER) AS compact FROM (SELECT event_id, event_id * 2654435761 % 4294967296 AS flags FROM events))"),
     ("flags_quality_filter", lambda s, d: S.good_quality(_e(s, d).withColumn("flags", F.col("event_id") % 4)).select("event_id"), "SELECT event_id FROM events WHERE event_id % 4 = 0"),
     ("base_time_offset", base_time_offset, "SELECT event_id, ticks, CAST(CASE WHEN dt < 0 OR dt >= 4294967296 THEN 8 WHEN dt % 10000 = 0 AND dt // 10000 < 65536 THEN 2 ELSE 4 END AS INTEGER) AS size, CAST(CASE WHEN dt < 0 OR dt >= 4294967296 THEN ticks WHEN dt % 10000 = 0 AND dt // 10000 < 65536 THEN dt // 10000 ELSE dt END AS BIGINT) AS value FROM (SELECT event_id, epoch_us(ts) * 10 + 621355968000000000 AS ticks, epoch_us(ts) * 10 + 621355968000000000 - 638396640000000000 AS dt FROM events)"),
@@ -363,6 +370,12 @@ OTHERS: tuple[tuple[str, Query, str], ...] = (
 )
 
 
+def _by_two_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = DataSet(spark)
+    out.add("orders", read(spark, sf_dir, "orders"), ["o_custkey", "o_orderkey"])
+    return Q.select_rows(out, "FILTER orders WHERE o_custkey < 50; o_orderkey % 10 = 3").select("o_orderkey", "o_custkey")
+
+
 def _by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = DataSet(spark)
     c = read(spark, sf_dir, "customer")
