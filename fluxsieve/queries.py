@@ -351,6 +351,7 @@ OTHERS: tuple[tuple[str, Query, str], ...] = (
     ("nan_filter", lambda s, d: S.without_nan(_e(s, d).withColumn("value", F.when(F.col("event_id") % 7 == 0, F.lit(float("nan"))).otherwise(F.col("value")))).select("event_id", "value"), "SELECT event_id, value FROM events WHERE event_id % 7 <> 0"),
     ("temporal_range", lambda s, d: S.between(_e(s, d), _ntz("2024-01-05"), _ntz("2024-01-06 12:00:00")).select("event_id", "ts"), "SELECT event_id, ts FROM events WHERE ts BETWEEN TIMESTAMP '2024-01-05' AND TIMESTAMP '2024-01-06 12:00:00'"),
     ("sequence_gaps", lambda s, d: S.sequence_gaps(_e(s, d).withColumn("sequence", F.expr("event_id + event_id div 11")), "sequence", "event_type").select("event_id", "event_type", "missing"), "SELECT event_id, event_type, missing FROM (SELECT event_id, event_type, n - lag(n) OVER (PARTITION BY event_type ORDER BY n) - 1 AS missing FROM (SELECT event_id, event_type, event_id + event_id // 11 AS n FROM events)) WHERE missing > 0"),
+    ("in_sequence", lambda s, d: S.in_sequence(_e(s, d).selectExpr("event_id", "event_type as channel", "(event_id * 7919) % 50 as sequence"), "event_id"), "WITH n AS (SELECT event_id, event_type AS channel, (event_id * 7919) % 50 AS sequence FROM events), r AS (SELECT *, sum(CASE WHEN sequence = 0 THEN 1 ELSE 0 END) OVER (PARTITION BY channel ORDER BY event_id) AS run FROM n), t AS (SELECT *, max(sequence) OVER (PARTITION BY channel, run ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS top FROM r) SELECT event_id, channel, sequence FROM t WHERE top IS NULL OR sequence > top"),
     ("dedupe_sequence", lambda s, d: S.dedupe_sequence(_e(s, d).select((F.col("event_id") % 1000).alias("sequence")), ["sequence"]), "SELECT DISTINCT event_id % 1000 AS sequence FROM events"),
     ("ordered_blocks", lambda s, d: S.ordered_blocks(_e(s, d).selectExpr("event_id % 3 as channel", "event_id div 3 + if(event_id >= 500 and event_id % 3 = 2, 1, 0) as sequence")), "SELECT channel, sequence FROM (SELECT channel, sequence, row_number() OVER (PARTITION BY channel ORDER BY sequence) - 1 AS n FROM (SELECT DISTINCT event_id % 3 AS channel, event_id // 3 + CASE WHEN event_id >= 500 AND event_id % 3 = 2 THEN 1 ELSE 0 END AS sequence FROM events)) WHERE n = sequence"),
     ("flags_compact", flags_compact, "SELECT event_id, flags, compact, CAST((compact & 1) * 252 | (compact & 2) // 2 * 61187 | (compact & 4) // 4 * 12517376 | (compact & 8) // 8 * 3758096384 | (compact & 16) // 16 * 4096 | (compact & 32) // 32 * 4194304 AS BIGINT) AS expanded FROM (SELECT event_id, flags, CAST(CAST(flags & 252 <> 0 AS INTEGER) + 2 * CAST(flags & 61187 <> 0 AS INTEGER) + 4 * CAST(flags & 12517376 <> 0 AS INTEGER) + 8 * CAST(flags & 3758096384 <> 0 AS INTEGER) + 16 * CAST(flags & 4096 <> 0 AS INTEGER) + 32 * CAST(flags & 4194304 <> 0 AS INTEGER) AS INTEGER) AS compact FROM (SELECT event_id, event_id * 2654435761 % 4294967296 AS flags FROM events))"),

@@ -61,6 +61,11 @@ def decode_packet(data: bytes, bases: tuple[int, int] = (0, 0), milliseconds: bo
         # records of one size: all at once
         a = np.frombuffer(data, np.dtype([("f", "u1"), ("i", ">u4"), ("v", ">f4")]), count, 4)
         return [(int(i), float(v), 0, state_flags(int(f))) for f, i, v in a]
+    if with_time and len(data) == 4 + 17 * count:
+        a = np.frombuffer(data, np.dtype([("f", "u1"), ("i", ">u4"), ("v", ">f4"), ("t", ">u8")]), count, 4)
+        if not (a["f"] & BASE_TIME_OFFSET).any():  # whole times throughout
+            known = {int(f): state_flags(int(f)) for f in np.unique(a["f"])}
+            return [(i, v, t, known[f]) for f, i, v, t in zip(a["f"].tolist(), a["i"].tolist(), a["v"].tolist(), a["t"].tolist())]
     for _ in range(count):
         compact, i, value = _HEAD.unpack_from(data, at)
         at += _HEAD.size

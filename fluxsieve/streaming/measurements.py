@@ -198,6 +198,15 @@ def sequence_gaps(df: DataFrame, sequence: str = "sequence", channel: str | None
     return df.withColumn("missing", step - 1).where(F.col("missing") > 0)
 
 
+def in_sequence(df: DataFrame, arrival: str, sequence: str = "sequence", channel: str = "channel") -> DataFrame:
+    """Batch: rows in order of arrival, without those whose number isn't above all since the channel's last reset (number 0)."""
+    by_arrival = Window.partitionBy(channel).orderBy(arrival)
+    run = df.withColumn("_run", F.sum(F.when(F.col(sequence) == 0, 1).otherwise(0)).over(by_arrival))
+    before = Window.partitionBy(channel, "_run").orderBy(arrival).rowsBetween(Window.unboundedPreceding, -1)
+    run = run.withColumn("_top", F.max(sequence).over(before))
+    return run.where(F.col("_top").isNull() | (F.col(sequence) > F.col("_top"))).drop("_run", "_top")
+
+
 def dedupe_sequence(df: DataFrame, keys: list[str], time: str | None = None, delay: str = "10 seconds") -> DataFrame:
     """Each sequence number once; a stream keeps state for the delay only."""
     if df.isStreaming and time:

@@ -44,3 +44,13 @@ def test_connections(spark):
     got = decode_connections(packets.unionAll(packets))
     key = lambda r: (r.connection, r.signal_index, r.value, r.ticks, r.flags)
     assert sorted(map(key, got.collect())) == sorted(map(key, df.collect()))
+
+
+def test_golden_bytes():
+    """One measurement from a fresh state, spelled out by the format: point XOR of 4 bits (1, then 1), time XOR (17, varint 5), value
+    XOR of 32 bits (31, then 1.0), end (0). Code words of 8 bits and odd bits share reserved bytes."""
+    e = Encoder()
+    e.add(1, 1.0, 5, 0)
+    block = e.block()
+    assert block == bytes.fromhex("01 11 11 05 f0 00 00 80 3f 00")
+    assert list(Decoder().block(block)) == [(1, 1.0, 5, 0)]
