@@ -46,7 +46,8 @@ _BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 def ship(spark: SparkSession) -> None:
     """Make this package importable on the Python workers, once an application, and bound the batches that they get."""
     sc = spark.sparkContext
-    if not str(size := spark.conf.get(_BATCH, "")).isdigit() or int(size) > BATCH:
+    size = spark.conf.get(_BATCH).rstrip("bB")
+    if not size.isdigit() or int(size) > BATCH:
         spark.conf.set(_BATCH, str(BATCH))
     if getattr(sc, "_fluxsieve_shipped", False):
         return
