@@ -580,7 +580,7 @@ def brute_lines(rows):
     """rows of (doc_id, text): the (row number, line number) that go."""
     all_ = [((math.inf if i is None else i, k), r, frozenset(x for x in re.split(r"[\x20\x09-\x0D]+", line.strip(" \t\x0b\f\r")) if x)) for r, (i, t) in enumerate(rows) if t is not None for k, line in enumerate(t.split("\n"))]
     all_ = [x for x in all_ if x[2]]
-    return {(x[1], x[0][1]) for x in all_ for y in all_ if y[0] < x[0] and 5 * len(x[2] & y[2]) >= 4 * len(x[2] | y[2])}
+    return {(x[1], x[0][1]) for x in all_ for y in all_ if y[0] < x[0] and 4 * len(x[2]) <= 5 * len(y[2]) and 4 * len(y[2]) <= 5 * len(x[2]) and 5 * len(x[2] & y[2]) >= 4 * len(x[2] | y[2])}
 
 
 def test_lines_against_brute_force(spark):
@@ -760,15 +760,47 @@ def test_whole_tables(spark, sf, name):
 
 
 def test_pipeline(spark, sf):
+    """Every stage against a brute-force version of it, on what the stage before kept."""
     import corpus_pipeline as cp
     from fluxsieve.llm.common import cut
 
     d = spark.read.parquet(f"{sf}/documents.parquet")
-    columns, counts = d.columns, [d.count()]
-    for _, stage in cp.STAGES[:-1]:
-        d = cut(stage(spark, d, sf))
-        assert d.columns == columns
-        counts.append(d.count())
-    assert counts[0] > counts[1] == counts[2] > counts[3] > 0
-    assert cp.STAGES[-1][1](spark, d, sf).where("not round_trip").count() == 0
+    columns = d.columns
+
+    def texts(df):
+        return {r.doc_id: r.text for r in df.select("doc_id", "text").collect()}
+
+    def stage(i, df):
+        out = cut(cp.STAGES[i][1](spark, df, sf))
+        assert i == 4 or out.columns == columns
+        return out
+
+    scores = quality.score(d, quality.fit(d)).where("keep").select("doc_id").collect()
+    good = stage(0, d)
+    assert set(texts(good)) == {r.doc_id for r in scores} and good.count() < d.count()
+
+    rows = sorted(texts(good).items())
+    gone = brute_lines(rows)
+    deduped = stage(1, good)
+    assert texts(deduped) == {i: None if t is None else "\n".join(x for k, x in enumerate(t.split("\n")) if (n, k) not in gone) for n, (i, t) in enumerate(rows)}
+
+    # near copies of this size go in line dedup: some are put back
+    base = max((t for t in texts(deduped).values() if t), key=len)
+    planted = deduped.limit(3).withColumns({"doc_id": F.col("doc_id") + 100_000, "text": F.lit(base + " and one more")})
+    both = cut(deduped.unionAll(planted))
+    found = brute_groups(sorted((r.doc_id, r.text) for r in both.collect()), 5, 80, 100)
+    single = stage(2, both)
+    want = {c if n else i for i, n, c in found}
+    assert set(texts(single)) == want and len(want) <= both.count() - 3 and single.count() == len(want)
+
+    taken = {r.doc_id: (r.taken, r["size"]) for r in mixing.mix(single).collect()}
+    mixed = stage(3, single)
+    words, times = collections.Counter(), collections.Counter()
+    for r in mixed.collect():
+        words[r.doc_id] += len(r.text.split())
+        times[r.doc_id] += 1
+    assert dict(words) == {i: t for i, (t, _) in taken.items() if t} and all(times[i] == -(-t // n) for i, (t, n) in taken.items() if t)
+
+    out = stage(4, mixed)
+    assert out.where("not round_trip").count() == 0 and out.where("rank = 1").count() == mixed.count()
     assert cp.ORACLE_SQL is None and len(cp.STAGES) == 5
