@@ -40,7 +40,7 @@ from .components import components
 #: Entries of the table of frequent n-grams, at most; it is broadcast (16 bytes each).
 FREQUENT = 1 << 18
 #: Hashes counted together in one pass over a task's rows.
-CHUNK = 1 << 20
+CHUNK = 1 << 21
 #: Rounds of stars, at most.
 ROUNDS = 4
 #: Bits of a signature; a power of two.
@@ -351,9 +351,9 @@ def _try(docs: DataFrame, reps: DataFrame, pairs: DataFrame, k: int, num: int, d
 
 
 def _stars(at: DataFrame, turn: int, num: int, den: int) -> DataFrame:
-    """at(gram, cls, n, root, shared) -> pairs (a, b, n_a, n_b), three a class at most: of the classes of a column that have about
+    """at(gram, cls, n, root, shared) -> pairs (a, b, n_a, n_b), two a class at most: of the classes of a column that have about
     the same size, the one that shares most columns (an original, rather than a copy with changes of its own) and one by
-    lot stand for all; b is tried against the two it meets most often and one more."""
+    lot stand for all; b is tried against the one it meets most often and one more."""
     level = F.floor(F.log(F.col("n") + 0.5 * (turn % 2)) / float(np.log(den / num)) + 0.5 * (turn % 2))
     at = at.withColumn("level", level).withColumn("by", F.xxhash64(F.lit(turn), "cls"))
     ends = at.groupBy("gram", "level").agg(F.max(F.struct("shared", "cls", "n", "root")).alias("lo"), F.max(F.struct("by", "cls", "n", "root")).alias("hi"))
@@ -364,7 +364,7 @@ def _stars(at: DataFrame, turn: int, num: int, den: int) -> DataFrame:
     met = met.groupBy("b", "n_b", "a", "n_a").agg(F.count(F.lit(1)).alias("times"))
     best = met.withColumn("r", F.row_number().over(Window.partitionBy("b").orderBy(F.desc("times"), "a")))
     least = met.groupBy("b", "n_b").agg(F.min(F.struct("a", "n_a")).alias("l")).select("l.a", "b", "l.n_a", "n_b")
-    return best.where("r <= 2").select("a", "b", "n_a", "n_b").unionAll(least).distinct()
+    return best.where("r = 1").select("a", "b", "n_a", "n_b").unionAll(least).distinct()
 
 
 def join(docs: DataFrame, k: int = 4, num: int = 85, den: int = 100) -> DataFrame:
