@@ -509,7 +509,7 @@ def test_field_decides_on_addresses_in_words():
 
 
 def test_field_against_all_segmentations():
-    w = pii.weights()
+    w, several = pii.weights(), 0
     for text in ["555-123-4567", "1 (269) 5", "12-34 5678901", "123-45-6789 1", "joe at b.com", "(555) 123-4567"]:
         for window in pii._windows(text, []):
             def every(i):
@@ -521,7 +521,9 @@ def test_field_against_all_segmentations():
                         yield s + sum(w.get(f, 0.0) for f in features), ([(window.bounds[i], window.bounds[j], kind)] if kind else []) + rest
             made = list(every(0))
             top = max(s for s, _ in made)
-            assert any(s == pytest.approx(top) and found == window.best(w) for s, found in made) and len(made) > 1
+            assert any(s == pytest.approx(top) and found == window.best(w) for s, found in made)
+            several += len(made) > 1
+    assert several >= 4
 
 
 def test_long_runs_take_time_in_proportion():
