@@ -645,6 +645,19 @@ def test_near_copies_of_lines_in_large_groups(spark):
     assert {x.doc_id for x in got} == {rows[k][0] for k, _ in brute_lines(rows)}
 
 
+def test_near_copies_of_lines_that_differ_at_an_end(spark):
+    """A copy without the word of least or of largest hash is thinned like any other; words are hashed once a line."""
+    ws = [f"w{i}" for i in range(40)]
+    by_hash = [r.w for r in spark.createDataFrame([(w,) for w in ws], "w string").selectExpr("w", "xxhash64(w) h").orderBy("h").collect()]
+    texts = [ws, [w for w in ws if w != by_hash[0]], [w for w in ws if w != by_hash[-1]], by_hash[1:-1], by_hash[2:-2]]
+    d = docs(spark, [(i, " ".join(t), "a") for i, t in enumerate(texts)])
+    sets = lines.sets(d, lines.rarity(d), 4, 5, 1)
+    assert sets._jdf.queryExecution().executedPlan().toString().count("[\\x20\\x09-\\x0D]+") == 1
+    classes = sets.withColumns({"id": "doc_id", "doc": "doc_id"})
+    assert {(r.early, r.late) for r in lines._relatives(classes, 4, 5).collect()} >= {(0, 1), (0, 2), (0, 3)}
+    assert [r.n_removed for r in lines.dedup(d).orderBy("doc_id").collect()] == [0, 1, 1, 1, 1]
+
+
 def test_lines_keep_columns_of_any_name(spark):
     d = docs(spark, [(1, "a b c", "s"), (2, "c b a\nnew", "s")]).selectExpr("doc_id", "text", "1 as gone", "2 as of", "3 as of_row", "4 as ls", "5 as `all`", "6 as n_removed")
     got = lines.dedup(d).orderBy("doc_id")
