@@ -11,7 +11,7 @@ never formed whole; only entries that size-derived bounds leave open are accumul
 3. Stars first: in each column two classes stand for the column, and each class is tried against those it meets
    most often. A few such rounds join large groups of near copies by as many pairs as they have members. Then all pairs that share a kept column, lie in different components so far, and can reach the
    threshold by size and by position in the column order, are tried: none of them is left out.
-4. Trying is the product, in blocks: a block holds the rows that its open entries need, as sorted column numbers. The columns of
+4. Trying is the product, in blocks: a block gets the texts that its open entries need, and holds them as sorted column numbers. The columns of
    a row are marked, the marks are summed over the columns of all its partners at once, and counts below the bound of the two sizes are
    discarded. A block returns a spanning forest of the links it finds.
 
@@ -25,6 +25,7 @@ doc_ids are ignored when the least id is taken. Other columns are ignored, or ca
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -79,6 +80,15 @@ def ngrams(text: str | None, k: int) -> np.ndarray:
     return np.unique(s)
 
 
+def pack(text: str) -> bytes:
+    """A text as it is shuffled to blocks."""
+    return zlib.compress(text.encode(), 1)
+
+
+def unpack(packed: bytes) -> str:
+    return zlib.decompress(packed).decode()
+
+
 def class_of(grams: np.ndarray) -> bytes:
     return xxhash.xxh3_128_digest(grams.tobytes())
 
@@ -110,7 +120,7 @@ class Order:
 
 _FIRST = pa.schema([("key", pa.int64()), ("text_hash", pa.int64()), ("doc_id", pa.int64()), ("n", pa.int64()), ("cls", pa.binary()), ("sig", pa.binary()), ("gram", pa.int64()), ("count", pa.int64())])
 _POSTING = pa.schema([("gram", pa.int64()), ("cls", pa.binary()), ("n", pa.int32()), ("pos", pa.int32())])
-_SET = pa.schema([("part", pa.int32()), ("cls", pa.binary()), ("grams", pa.binary())])
+_SET = pa.schema([("part", pa.int32()), ("cls", pa.binary()), ("text", pa.binary())])
 
 
 def _fixed(cls: pa.ChunkedArray, width: int = 16) -> np.ndarray:
@@ -329,24 +339,27 @@ def _try(docs: DataFrame, reps: DataFrame, pairs: DataFrame, k: int, num: int, d
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a in range(0, batch.num_rows, 256):
-                part, cls, grams = [], [], []
+                part, cls, packed = [], [], []
                 for c, ps, text in zip(*(batch.slice(a, 256)[x] for x in ("cls", "parts", "text"))):
-                    c, x = c.as_py(), ngrams(text.as_py(), k)
+                    c, text = c.as_py(), text.as_py()
+                    x = ngrams(text, k)
                     if len(x) and class_of(x) == c:
+                        text = pack(text)
                         for p in ps.as_py():
                             part.append(p)
                             cls.append(c)
-                            grams.append(x.tobytes())
-                yield pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), pa.array(cls, pa.binary()), pa.array(grams, pa.binary())], schema=_SET)
+                            packed.append(text)
+                yield pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), pa.array(cls, pa.binary()), pa.array(packed, pa.binary())], schema=_SET)
 
     def product(pairs: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
         names = {bytes(c): i for i, c in enumerate(rows["cls"])}
-        sets_ = [np.frombuffer(g, np.uint64) for g in rows["grams"]]
+        sets_ = [ngrams(unpack(t), k) for t in rows["text"]]
         links = masked_product(sets_, [names.get(bytes(x), -1) for x in pairs["a"]], [names.get(bytes(x), -1) for x in pairs["b"]], num, den)
         cls = list(map(bytes, rows["cls"]))
         return pd.DataFrame([(cls[a], cls[b]) for a, b in links], columns=["a", "b"])
 
-    incidence = texts.mapInArrow(sets, "part int, cls binary, grams binary")
+    # texts, packed, take far less room in the shuffle than their n-grams, which are hashes of eight bytes a word
+    incidence = texts.mapInArrow(sets, "part int, cls binary, text binary")
     return cut(pairs.select("part", "a", "b").groupBy("part").cogroup(incidence.groupBy("part")).applyInPandas(product, "a binary, b binary"))
 
 

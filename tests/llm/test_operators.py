@@ -5,6 +5,7 @@ import re
 import zlib
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -717,6 +718,14 @@ def test_ngrams_against_brute_force(spark, k, num):
     assert sorted(((x.doc_id, x.n_shingles, x.component_id) for x in got), key=str) == brute_groups(rows, k, num, 100)
 
 
+def test_texts_go_to_blocks_in_less_room_than_their_ngrams(sf):
+    texts = [*pd.read_parquet(f"{sf}/documents.parquet").text.dropna(), "", "\n", "A b\u00fc \U0001f600 c"]
+    packed = [shingles.pack(t) for t in texts]
+    assert all((shingles.ngrams(shingles.unpack(p), 4) == shingles.ngrams(t, 4)).all() for p, t in zip(packed, texts))
+    assert sum(map(len, packed)) * 2 < sum(shingles.ngrams(t, 4).nbytes for t in texts)
+    assert "grams" not in shingles._SET.names
+
+
 def test_masked_product_against_sets():
     r = np.random.default_rng(3)
     sets = [np.unique(r.integers(0, 60, int(r.integers(1, 50))).astype(np.uint64)) for _ in range(60)] + [np.arange(50, dtype=np.uint64)] * 3
