@@ -120,14 +120,15 @@ class Model:
         at = [0, *(i for i in range(1, len(u)) if u[i - 1 : i + 1] not in self.pairs), len(u)]
         return [u[a:b] for a, b in zip(at, at[1:])]
 
-    def cut(self, texts: list[str]) -> list[list[str]]:
-        """The units of each text. What a unit is cut into is looked up once for all texts."""
+    def cut(self, texts: list[str]) -> tuple[list[list[str]], set[str]]:
+        """The units of each text, and those that may not be known yet. What a unit is cut into is looked up once for all texts."""
         found = [_UNITS.findall(" " + t) for t in texts]
         new = set().union(*found).difference(self.units)
         odd = {u: self._parts(u) for u in new if len(u) > LONG or not self.single.issuperset(u)}
         if odd:
             found = [l if odd.keys().isdisjoint(l) else [p for u in l for p in odd.get(u, (u,))] for l in found]
-        return found
+            new = new.difference(odd).union(*odd.values())
+        return found, new
 
     def edges(self, unit: str) -> list[list[tuple[int, tuple[int, ...], float]]]:
         """For each place in the unit the edges that end there: (start, ids, weight)."""
@@ -425,8 +426,8 @@ def top_k(model: Model, texts: list[str], k: int, rngs: list[np.random.Generator
     units = model.units
     if len(units) > CACHE:
         units.reset()
-    cut = model.cut(texts)
-    units.learn(set().union(*cut))
+    cut, new = model.cut(texts)
+    units.learn(new)
     searches = [Search(model, np.fromiter(map(units.__getitem__, c), np.int64, len(c)), r) for c, r in zip(cut, rngs)]
     begun = [(x, *x.begin(None, 0, None, -math.log(-math.log(x.rng.random() + 1e-300))), 0) for x in searches]
     _finish(model, begun)

@@ -408,6 +408,17 @@ def whole_lattice(model, text):
     return total[-1]
 
 
+def test_units_that_are_new_are_found_with_the_cuts(model):
+    model.units.reset()
+    texts = ["plain words here", "odd \u4e2d\u6587 " + "abcxyz" * 9, "", "plain words again\n\n end"]
+    found, new = model.cut(texts)
+    assert ["".join(x) for x in found] == [" " + t for t in texts] and new == set().union(*found)
+    model.units.learn(new)
+    assert set(model.units) == new
+    found, new = model.cut([*texts, "one more"])
+    assert set().union(*found).difference(model.units) == new.difference(model.units) and len(new) < len(set().union(*found))
+
+
 def test_units_against_the_whole_lattice(model):
     texts = ["more information on a particular experience", "a  run    of spaces                   and misinformation\n\n  x", "administration|transformation=====================x", "z" * 40 + "\u2581 \u0bf5 \U0001f600ab", "internationalization of representatives", "ab" * 400]
     byte, weight = set(model.byte_ids), dict(model.pieces.values())
