@@ -670,6 +670,27 @@ def test_near_copies_of_lines_that_differ_at_an_end(spark):
     assert [r.n_removed for r in lines.dedup(d).orderBy("doc_id").collect()] == [0, 1, 1, 1, 1]
 
 
+def test_lines_order_words_by_a_sample_and_move_wanted_texts_only(spark):
+    """The order of words comes from a sample of bounded size, and a bitmap passes every wanted row and few others."""
+    d = spark.range(3 * lines.SAMPLE).selectExpr("id doc_id", "'often' text")
+    at = spark.createDataFrame([("often",)], "w string").select(lines._place(F.xxhash64("w"))).first()[0]
+    level = spark.range(1).select(lines.rarity(d)[at]).first()[0]
+    assert 0 < level <= 2 * math.log2(1.1 * lines.SAMPLE) + 1
+    keys = spark.range(1000).select(F.xxhash64("id").alias("key"))
+    passed = spark.range(100_000).select("id", lines._marked(keys)(F.xxhash64("id")).alias("p")).where("p").collect()
+    assert {r.id for r in passed} >= set(range(1000)) and len(passed) < 1100
+
+
+def test_lines_with_ids_of_any_range_and_odd_space(spark):
+    """The order is a long or a decimal by the range of ids, null last in both; any space separates words."""
+    for ids in ([-5, 3, 2**31 - 8, None], [-(2**63), -1, 2**63 - 2, None], [None, None, None, None]):
+        d = docs(spark, [(i, t, "a") for i, t in zip(ids, ["x\n  a  b\tc\r\nuno", "c b a\ny", "\x0b b\x0cc a \nz", " \t\r\n\x0b\nb c a"])])
+        rows = [(r.doc_id, r.text) for r in d.collect()]
+        gone = brute_lines(rows)
+        want = ["\n".join(x for k, x in enumerate(t.split("\n")) if (n, k) not in gone) for n, (_, t) in enumerate(rows)]
+        assert collections.Counter(r.text for r in lines.dedup(d).collect()) == collections.Counter(want)
+
+
 def test_lines_keep_columns_of_any_name(spark):
     d = docs(spark, [(1, "a b c", "s"), (2, "c b a\nnew", "s")]).selectExpr("doc_id", "text", "1 as gone", "2 as of", "3 as of_row", "4 as ls", "5 as `all`", "6 as n_removed")
     got = lines.dedup(d).orderBy("doc_id")
