@@ -681,6 +681,15 @@ def test_lines_order_words_by_a_sample_and_move_wanted_texts_only(spark):
     assert {r.id for r in passed} >= set(range(1000)) and len(passed) < 1100
 
 
+def test_lines_plans_name_the_tables_instead_of_spelling_them_out(spark):
+    """The driver keeps plans as text, several times over: a table of 2 ** 18 numbers must not be in them."""
+    d = docs(spark, [(i, f"often w{i}", "a") for i in range(20)])
+    keys = spark.range(50).select(F.xxhash64("id").alias("key"))
+    for frame in (lines.sets(d, lines.rarity(d), 4, 5, 1), keys.where(lines._marked(keys)(F.col("key")))):
+        assert frame.count() == (50 if "key" in frame.columns else 20)
+        assert len(frame._jdf.queryExecution().toString()) < 50_000
+
+
 def test_lines_with_ids_of_any_range_and_odd_space(spark):
     """The order is a long or a decimal by the range of ids, null last in both; any space separates words."""
     for ids in ([-5, 3, 2**31 - 8, None], [-(2**63), -1, 2**63 - 2, None], [None, None, None, None]):
