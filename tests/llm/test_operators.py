@@ -681,6 +681,19 @@ def test_lines_order_words_by_a_sample_and_move_wanted_texts_only(spark):
     assert {r.id for r in passed} >= set(range(1000)) and len(passed) < 1100
 
 
+def test_lines_order_words_by_the_counts_of_all_documents(spark, monkeypatch):
+    """No document is left out of the counts, whatever the size of the table; levels are of counts in SAMPLE documents."""
+    monkeypatch.setattr(lines, "SAMPLE", 8)
+    texts = [f"often w{i} w{i}\nhalf" if i % 2 else f" often\t w{i}\n\n" for i in range(200)] + [None, ""]
+    counts = collections.Counter(w for t in texts for w in (t or "").split())
+    at = {r.w: r.p for r in spark.createDataFrame([(w,) for w in counts], "w string").select("w", lines._place(F.xxhash64("w")).alias("p")).collect()}
+    want = collections.Counter()
+    for w, n in counts.items():
+        want[at[w]] += n
+    levels = spark.range(1).select(lines.rarity(docs(spark, [(i, t, "a") for i, t in enumerate(texts)])).alias("l")).first().l
+    assert {p: x for p, x in enumerate(levels) if x > -128} == {p: math.floor(2 * math.log2(n * 8 / 202)) + 1 for p, n in want.items()}
+
+
 def test_lines_plans_name_the_tables_instead_of_spelling_them_out(spark):
     """The driver keeps plans as text, several times over: a table of 2 ** 18 numbers must not be in them."""
     d = docs(spark, [(i, f"often w{i}", "a") for i in range(20)])
