@@ -694,6 +694,22 @@ def test_lines_order_words_by_the_counts_of_all_documents(spark, monkeypatch):
     assert {p: x for p, x in enumerate(levels) if x > -128} == {p: math.floor(2 * math.log2(n * 8 / 202)) + 1 for p, n in want.items()}
 
 
+def test_pipeline_counts_the_words_of_all_documents_for_line_dedup(spark, monkeypatch):
+    import corpus_pipeline as cp
+
+    counted, made = [], lines._constant
+
+    def constant(rows, size, value):
+        if size == 1 << lines.BUCKETS:
+            counted.append(rows.agg(F.sum("value")).first()[0])
+        return made(rows, size, value)
+
+    monkeypatch.setattr(lines, "SAMPLE", 8)
+    monkeypatch.setattr(lines, "_constant", constant)
+    d = docs(spark, [(i, f"one line of {i}\nand another\n", "a") for i in range(200)])
+    assert cp.dedup_lines(spark, d, "").count() == 200 and counted == [200 * 6]
+
+
 def test_lines_plans_name_the_tables_instead_of_spelling_them_out(spark):
     """The driver keeps plans as text, several times over: a table of 2 ** 18 numbers must not be in them."""
     d = docs(spark, [(i, f"often w{i}", "a") for i in range(20)])
