@@ -32,6 +32,8 @@ DIM = 14
 THRESHOLD = 0.5
 #: Weight of the squared weights in the loss; training ends where the gradient is no longer than FLAT, or after ROUNDS steps.
 DECAY, FLAT, ROUNDS = 1e-5, 1e-4, 100
+#: Documents in a task of such a step, about.
+ROWS = 1 << 14
 #: Terms of the loss and its gradient are whole multiples of 1 / UNIT.
 UNIT = float(1 << 28)
 GOOD, BAD, ABSTAIN = 1, 0, 2
@@ -256,7 +258,8 @@ def _learnt(seen: DataFrame) -> tuple[LabelModel, np.ndarray] | None:
     model = expectation_maximisation(patterns)
     codes, n = sorted(patterns), sum(patterns.values())
     soft = model.posterior(codes)
-    seen = seen.select("pattern", "at", "val")
+    # what a task of a pass costs by itself counts, as there are many passes
+    seen = seen.select("pattern", "at", "val").coalesce(max(2 * seen.sparkSession.sparkContext.defaultParallelism, n // ROWS))
 
     def loss(w: np.ndarray) -> tuple[float, np.ndarray]:
         value, grad = _summed(seen, w, np.array(codes), soft)
