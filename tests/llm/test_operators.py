@@ -753,6 +753,22 @@ def test_pipeline_counts_the_words_of_all_documents_for_line_dedup(spark, monkey
     assert cp.dedup_lines(spark, d, "").count() == 200 and counted == [200 * 6]
 
 
+def test_lines_rank_a_word_by_one_look_and_one_flip(spark):
+    """For each place, rare or not and of any high bits, the flip gives the level of its words and keeps the rest of the hash; a line's words are
+    made distinct once, without its empty ones."""
+    d = docs(spark, [(0, "often  w0\tw1 w1 ", "a"), (1, "often", "a")])
+    levels = lines.rarity(d)
+    words = spark.createDataFrame([(w,) for w in ("often", "w0", "w1", "unseen")], "w string").select(F.xxhash64("w").alias("h"))
+    words = words.withColumn("flips", lines._flips(spark, levels)).withColumn("levels", levels)
+    got = words.select("h", F.get("levels", lines._place(F.col("h"))).alias("level"), lines._ranked(F.col("flips"))(F.col("h")).alias("rank")).collect()
+    assert len({r.level for r in got}) == 3
+    assert all(r.rank == (r.level << lines.LOW) | (r.h & (1 << lines.LOW) - 1) for r in got)
+    sets = lines.sets(d, levels, 4, 5, 1)
+    plan = sets._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("array_except(") == 1 and "array_remove(" not in plan
+    assert sorted(r.n for r in sets.collect()) == [1, 3]
+
+
 def test_lines_plans_name_the_tables_instead_of_spelling_them_out(spark):
     """The driver keeps plans as text, several times over: a table of 2 ** 18 numbers must not be in them."""
     d = docs(spark, [(i, f"often w{i}", "a") for i in range(20)])
